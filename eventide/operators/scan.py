@@ -35,7 +35,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.exprs import duration_us, epoch_us
+from eventide.functions.exprs import duration_us
 
 # Rows per sequence bucket.  A (key, bucket) group never exceeds this, so a
 # task's window buffer is bounded; the bucket table has rows / width entries.
@@ -44,13 +44,17 @@ BUCKET = "_bkt"
 
 
 def seq_bucket(order: str, width: int = DEFAULT_SEQ_BUCKET) -> Column:
-    """Bucket of a dense-ish integer order column."""
-    return F.floor(F.col(order) / F.lit(width)).cast("long")
+    """Bucket of an integer order column: exact floor division (no doubles)."""
+    return _floor_div(f"CAST(`{order}` AS BIGINT)", int(width))
 
 
 def time_bucket(ts: str, width: str | int) -> Column:
     """Bucket of a timestamp column, width as '1 hour' or microseconds."""
-    return F.floor(epoch_us(ts) / F.lit(duration_us(width))).cast("long")
+    return _floor_div(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))", duration_us(width))
+
+
+def _floor_div(x: str, width: int) -> Column:
+    return F.expr(f"(({x}) - pmod({x}, {width}L)) div {width}L")
 
 
 def _win(keys: Sequence[str]) -> Window:
