@@ -1,0 +1,60 @@
+"""Small in-memory fixtures with known answers (tests only)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from eventide.schema import (ADD_TO_CART, PLAYER_OFFLINE, PLAYER_ONLINE, PLAYER_REGISTERED,
+                             REMOVED_FROM_CART)
+
+BASE = dt.datetime(2023, 11, 6, 0, 0, 0)  # UTC, naive
+BASE_MS = 1699228800000
+
+R, ON, OFF = PLAYER_REGISTERED, PLAYER_ONLINE, PLAYER_OFFLINE
+# (second after base, kind, player) in list (arrival) order
+SERVER_EVENTS = [
+    (2, R, "bob"), (2, ON, "bob"), (3, R, "diana"), (4, ON, "diana"), (4, R, "emily"),
+    (4, R, "alice"), (6, R, "fred"), (6, OFF, "bob"), (6, ON, "fred"), (7, OFF, "diana"),
+    (8, R, "charlie"), (9, OFF, "fred"), (10, ON, "alice"), (10, ON, "emily"),
+    (10, ON, "charlie"), (11, OFF, "emily"), (12, OFF, "charlie"), (12, OFF, "alice"),
+]
+
+SERVER_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType(), False),
+    T.StructField("event_time", T.TimestampType(), False),
+    T.StructField("event_type", T.StringType(), False),
+    T.StructField("player_id", T.StringType(), False),
+    T.StructField("nickname", T.StringType(), True),
+    T.StructField("game_type", T.StringType(), True),
+])
+
+CART_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType(), False),
+    T.StructField("event_time", T.TimestampType(), False),
+    T.StructField("event_type", T.StringType(), False),
+    T.StructField("user_id", T.StringType(), False),
+    T.StructField("sku", T.StringType(), True),
+    T.StructField("quantity", T.IntegerType(), True),
+])
+
+
+def server_events(spark: SparkSession) -> DataFrame:
+    rows = [(i + 1, BASE + dt.timedelta(seconds=s), k, p, p.capitalize(), None)
+            for i, (s, k, p) in enumerate(SERVER_EVENTS)]
+    return spark.createDataFrame(rows, SERVER_SCHEMA)
+
+
+def cart_events(spark: SparkSession, items: list[tuple[str, str, str, int]]) -> DataFrame:
+    """items: (kind, user, sku, quantity); event i at base + i seconds."""
+    rows = [(i + 1, BASE + dt.timedelta(seconds=i + 1), k, u, s, q) for i, (k, u, s, q) in enumerate(items)]
+    return spark.createDataFrame(rows, CART_SCHEMA)
+
+
+ADD, REMOVE = ADD_TO_CART, REMOVED_FROM_CART
+
+
+def secs(ts: dt.datetime) -> int:
+    return int((ts - BASE).total_seconds())
