@@ -80,17 +80,15 @@ def routes(df: DataFrame, routes_: Mapping[str, tuple[Column, Column]],
            keep_cols: Sequence[str] = ()) -> DataFrame:
     """One input, several outputs: ``name -> (filter, value)``.
 
-    Returned as one DataFrame with a ``route`` column.  Each route is a
-    filtered projection of the same scan; a writer that wants one folder per
-    route uses ``streaming.sinks.write_routes`` (batch) or the foreachBatch
-    router (streams), which reads the input once.
+    A single pass: each row becomes one output row per route whose filter it
+    passes (``explode`` of the matching routes), with columns ``route`` and
+    ``tag``.  Writing it with ``partitionBy("route")`` gives one folder per
+    route from one scan of the input (``streaming.sinks.write_routes``).
     """
-    parts = [df.where(pred).select(*keep_cols, F.lit(name).alias("route"), val.alias("tag"))
-             for name, (pred, val) in routes_.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cands = F.array(*[F.struct(F.lit(name).alias("route"), pred.alias("keep"), val.cast("string").alias("tag"))
+                      for name, (pred, val) in routes_.items()])
+    hit = F.explode(F.filter(cands, lambda r: F.coalesce(r["keep"], F.lit(False))))
+    return df.select(*keep_cols, hit.alias("_r")).select(*keep_cols, "_r.route", "_r.tag")
 
 
 def fizzbuzz_routes(df: DataFrame, col: str, keep_cols: Sequence[str] = ()) -> DataFrame:
