@@ -61,8 +61,19 @@ def _win(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
 
-def _bucketed(df: DataFrame, order: str, bucket: Column | None) -> DataFrame:
-    return df.withColumn(BUCKET, seq_bucket(order) if bucket is None else bucket)
+def _bucketed(df: DataFrame, order: str, bucket: Column | None, keys: Sequence[str] = ()) -> DataFrame:
+    """Add the bucket column and drop rows the inner join back would drop
+    anyway (null key or bucket).  Stating the filter once, before the plan
+    forks, keeps both branches identical, so the raw-row shuffle is reused."""
+    d = df.withColumn(BUCKET, seq_bucket(order) if bucket is None else bucket)
+    return d.where(not_null(*keys, BUCKET))
+
+
+def not_null(*cols: str) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
 
 
 def running_sums(df: DataFrame, order: str, sums: Mapping[str, Column],
@@ -70,7 +81,7 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, Column],
     """Add one column per entry of ``sums``: the sum of the expression over the
     rows of the same key with ``order`` <= this row's (running sum/count)."""
     keys = list(keys)
-    d = _bucketed(df, order, bucket)
+    d = _bucketed(df, order, bucket, keys)
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = d.select("*", *[F.sum(e).over(local_w).alias(f"_l_{n}") for n, e in sums.items()])
@@ -87,7 +98,7 @@ def running_max(df: DataFrame, order: str, name: str, value: Column,
     """Add ``name``: max of ``value`` over rows of the key so far.  Works for
     any orderable type, structs included (``max(struct(a, b))`` is an arg-max)."""
     keys = list(keys)
-    d = _bucketed(df, order, bucket).withColumn("_v", value)
+    d = _bucketed(df, order, bucket, keys).withColumn("_v", value)
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("_l", F.max("_v").over(local_w))
@@ -111,7 +122,7 @@ def last_n(df: DataFrame, order: str, n: int, value: Column, name: str,
     if n < 1:
         raise ValueError("n must be >= 1")
     keys = list(keys)
-    d = _bucketed(df, order, bucket)
+    d = _bucketed(df, order, bucket, keys)
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(-(n - 1), Window.currentRow)
     local = d.withColumn("_l", F.collect_list(value).over(local_w))
     tails = local.groupBy(*keys, BUCKET).agg(F.max_by("_l", F.col(order)).alias("_t"))
@@ -129,7 +140,7 @@ def forward_fill(df: DataFrame, order: str, fills: Mapping[str, Column],
     expression among rows of the key so far (null until the first one).  All
     columns share one local pass and one carry table."""
     keys = list(keys)
-    d = _bucketed(df, order, bucket)
+    d = _bucketed(df, order, bucket, keys)
     for i, e in enumerate(fills.values()):
         d = d.withColumn(f"_v{i}", e)
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(

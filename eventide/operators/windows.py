@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.exprs import duration_us, epoch_us, window_report
-from eventide.operators.scan import BUCKET, time_bucket
+from eventide.operators.scan import BUCKET, not_null, time_bucket
 
 START, END = "window_start", "window_end"
 
@@ -136,7 +136,8 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
     """
     keys = list(keys)
     gap_us = duration_us(gap)
-    d = df.withColumn("_t", epoch_us(time_col)).withColumn(BUCKET, time_bucket(time_col, bucket_width))
+    d = (df.withColumn("_t", epoch_us(time_col)).withColumn(BUCKET, time_bucket(time_col, bucket_width))
+           .where(not_null(*keys, "_t")))
     lw = Window.partitionBy(*keys, BUCKET).orderBy("_t")
     run = lw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = F.lag("_t").over(lw)
