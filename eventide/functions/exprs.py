@@ -76,3 +76,17 @@ def divisible(c: str | Column, d: int) -> Column:
 def join_ids(arr: Column, sep: str = ",") -> Column:
     """Array of numbers -> 'a,b,c' (null array stays null)."""
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)
+
+
+def player_identity(player_id: str | Column = "player_id", nickname: str | Column = "nickname") -> Column:
+    """``player|<id>|<nickname>``, or ``player|<id>`` when the nickname is null
+    (``concat_ws`` skips nulls, so one expression covers both event kinds)."""
+    p = F.col(player_id) if isinstance(player_id, str) else player_id
+    n = F.col(nickname) if isinstance(nickname, str) else nickname
+    return F.concat_ws("|", F.lit("player"), p, n)
+
+
+def one_of(c: str | Column, allowed: Sequence[str]) -> Column:
+    """True when the value is null or one of ``allowed`` (an enum check)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.isNull() | c.isin(list(allowed))

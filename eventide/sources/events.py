@@ -79,6 +79,19 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(read_table(spark, sf_dir, "events"))
 
 
+def server_events(df: DataFrame, strict: bool = True) -> DataFrame:
+    """Game-server events: adds the derived ``identity`` and, with ``strict``,
+    fails rows whose ``game_type`` is not one of the fixed game types (the enum
+    check of the typed original) by turning them into an error at run time."""
+    from eventide.functions.exprs import one_of, player_identity
+    from eventide.schema import GAME_TYPES
+    out = df.withColumn("identity", player_identity())
+    if strict and "game_type" in df.columns:
+        out = out.withColumn("game_type", F.when(one_of("game_type", GAME_TYPES), F.col("game_type"))
+                             .otherwise(F.raise_error(F.concat(F.lit("unknown game type: "), F.col("game_type")))))
+    return out
+
+
 def number_sequence(spark: SparkSession, start: int, end: int,
                     num_partitions: int | None = None) -> DataFrame:
     """Inclusive integer range, column ``n`` (Spark's own end is exclusive)."""

@@ -240,3 +240,19 @@ def test_partition_map_setup_teardown(spark, scratch):
         "n long, x long", setup=Hooks)
     assert sorted(r.x for r in out.collect()) == [2 * i for i in range(1, 11)]
     assert any(f.startswith("opened") for f in os.listdir(scratch))
+
+
+def test_player_identity_and_game_type_check(spark):
+    import pytest as _pt
+    from pyspark.errors import PySparkException
+
+    from eventide.sources.events import server_events as with_identity
+    ev = with_identity(server_events(spark))
+    ids = {r.identity for r in ev.where("seq = 1").collect()}
+    assert ids == {"player|bob|Bob"}
+    lfg = ev.limit(1).withColumn("nickname", F.lit(None).cast("string"))
+    assert lfg.select(__import__("eventide.functions.exprs", fromlist=["x"]).player_identity()).first()[0] \
+        == "player|bob"
+    bad = server_events(spark).limit(1).withColumn("game_type", F.lit("Solo"))
+    with _pt.raises(PySparkException):
+        with_identity(bad).collect()
