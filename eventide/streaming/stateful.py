@@ -31,6 +31,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
+class _Keyed(StatefulProcessor):
+    """Common parts: key columns, order column, optional state TTL.
+
+    ``ttl_ms`` expires a key's state that was not updated for that long
+    (processing time), e.g. the counters of windows that have closed, or
+    histories of users gone quiet.  Set through ``apply_stateful(..., ttl_ms=...)``.
+    """
+
+    ttl_ms: int | None = None
+
+    def close(self) -> None:
+        pass
+
+
 def _rows(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     frames = [r for r in rows if len(r)]
     if not frames:
@@ -43,7 +57,7 @@ def _ids_text(values: Sequence) -> str:
     return ",".join(str(int(v)) for v in values)
 
 
-class RunningSum(StatefulProcessor):
+class RunningSum(_Keyed):
     """Rolling reduce (+) per key; value state holds the sum so far.
     ``value=None`` counts rows (the per-user event counter)."""
 
@@ -51,7 +65,7 @@ class RunningSum(StatefulProcessor):
         self.keys, self.order, self.value, self.out = list(keys), order, value, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total bigint")
+        self.total = handle.getValueState("total", "total bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -63,11 +77,8 @@ class RunningSum(StatefulProcessor):
         self.total.update((int(run[-1]),))
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order], self.out: run})
 
-    def close(self) -> None:
-        pass
 
-
-class TypeCounts(StatefulProcessor):
+class TypeCounts(_Keyed):
     """Map state type -> count; every row reports the counts of all listed
     types so far (0 while unseen)."""
 
@@ -77,7 +88,7 @@ class TypeCounts(StatefulProcessor):
         self.types, self.prefix = list(types), prefix
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "type string", "n bigint")
+        self.counts = handle.getMapState("counts", "type string", "n bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -93,18 +104,15 @@ class TypeCounts(StatefulProcessor):
             out[f"{self.prefix}{t}"] = run
         yield pd.DataFrame(out)
 
-    def close(self) -> None:
-        pass
-
 
-class LastN(StatefulProcessor):
+class LastN(_Keyed):
     """List state trimmed to the last n values (oldest removed first)."""
 
     def __init__(self, keys: Sequence[str], order: str, value: str, n: int, out: str = "last_n"):
         self.keys, self.order, self.value, self.n, self.out = list(keys), order, value, n, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getListState("tail", "v bigint")
+        self.tail = handle.getListState("tail", "v bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -116,11 +124,8 @@ class LastN(StatefulProcessor):
         self.tail.put([(v,) for v in values[-self.n:]])
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order], self.out: lists})
 
-    def close(self) -> None:
-        pass
-
 
-class LastNPerType(StatefulProcessor):
+class LastNPerType(_Keyed):
     """Map state type -> last-n list; every row reports the lists of the
     listed types side by side (null while a type is unseen)."""
 
@@ -130,7 +135,7 @@ class LastNPerType(StatefulProcessor):
         self.types, self.n = dict(types), n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lists = handle.getMapState("lists", "type string", "ids array<bigint>")
+        self.lists = handle.getMapState("lists", "type string", "ids array<bigint>", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -150,11 +155,8 @@ class LastNPerType(StatefulProcessor):
             self.lists.updateValue((t,), (cur[t],))
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order], **outs})
 
-    def close(self) -> None:
-        pass
-
 
-class CountTrigger(StatefulProcessor):
+class CountTrigger(_Keyed):
     """Fire every n rows of the key (e.g. of a time window): emits
     (keys, fire, n_seen, n_match) at each n-th row.  ``purge`` clears the
     contents after each fire, so a fire covers the last n rows only."""
@@ -163,7 +165,7 @@ class CountTrigger(StatefulProcessor):
         self.keys, self.order, self.n, self.match, self.purge = list(keys), order, n, match, purge
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "seen bigint, matched bigint, fires bigint")
+        self.acc = handle.getValueState("acc", "seen bigint, matched bigint, fires bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -186,11 +188,8 @@ class CountTrigger(StatefulProcessor):
             yield pd.DataFrame({**{k: [first[k]] * len(out) for k in self.keys},
                                 "fire": list(fire), "n_seen": list(n_seen), "n_match": list(n_match)})
 
-    def close(self) -> None:
-        pass
-
 
-class HistoryPages(StatefulProcessor):
+class HistoryPages(_Keyed):
     """All events so far per key, as bounded pages: list state holds the open
     page only; each row reports its position, page and the page so far."""
 
@@ -198,8 +197,8 @@ class HistoryPages(StatefulProcessor):
         self.keys, self.order, self.value, self.page_size = list(keys), order, value, page_size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pos = handle.getValueState("pos", "pos bigint")
-        self.page = handle.getListState("page", "v bigint")
+        self.pos = handle.getValueState("pos", "pos bigint", self.ttl_ms)
+        self.page = handle.getListState("page", "v bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -226,8 +225,14 @@ class HistoryPages(StatefulProcessor):
 
 
 def apply_stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
-                   output_schema: str, output_mode: str = "Append") -> DataFrame:
-    """``groupBy(keys).transformWithStateInPandas(processor)`` (no timers)."""
+                   output_schema: str, output_mode: str = "Append", ttl_ms: int | None = None) -> DataFrame:
+    """``groupBy(keys).transformWithStateInPandas(processor)``.  With
+    ``ttl_ms`` the processor's state expires after that much processing time
+    without an update (processing-time mode, needed for TTL).  A query in that
+    mode keeps running micro-batches for expiry, so use it with a continuous
+    trigger, not ``availableNow``."""
+    if ttl_ms is not None:
+        processor.ttl_ms = int(ttl_ms)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output_schema,
-        outputMode=output_mode, timeMode="None")
+        outputMode=output_mode, timeMode="ProcessingTime" if ttl_ms is not None else "None")
