@@ -43,11 +43,11 @@ def count_trigger(df: DataFrame, order: str, n: int, measures: Mapping[str, Colu
         if emit_partial:
             raise ValueError("emit_partial needs purge=True: kept contents fire on full counts only")
         return pos.where(cond).select(
-            *keys, (F.col("n_seen") / n).cast("long").alias("fire"),
+            *keys, F.expr(f"n_seen div {int(n)}").alias("fire"),
             F.col("n_seen").cast("long").alias("n_seen"),
             *[F.col(m).cast("long").alias(m) for m in measures])
     pos = running_sums(df, order, {"_pos": F.lit(1)}, keys=keys, bucket=bucket)
-    grp = ((F.col("_pos") - 1) / n).cast("long")
+    grp = F.expr(f"(_pos - 1) div {int(n)}")
     g = pos.groupBy(*keys, grp.alias("_g")).agg(
         F.count(F.lit(1)).alias("n_seen"), *[F.sum(e).cast("long").alias(m) for m, e in measures.items()])
     if not emit_partial:

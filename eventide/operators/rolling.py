@@ -85,7 +85,7 @@ def history_pages(df: DataFrame, order: str, keys: Sequence[str], value: str,
     """
     keys = list(keys)
     pos = running_sums(df, order, {"_pos": F.lit(1).cast("long")}, keys=keys, bucket=bucket)
-    page = ((F.col("_pos") - 1) / page_size).cast("long")
+    page = F.expr(f"(_pos - 1) div {int(page_size)}")
     g = pos.groupBy(*keys, page.alias("page")).agg(
         F.min(order).alias("first_seq"), F.max(order).alias("last_seq"),
         F.count(F.lit(1)).alias("n_events"),

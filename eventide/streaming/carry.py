@@ -70,9 +70,9 @@ def global_count_trigger(out_path: str, carry_path: str, order: str, n: int, mat
         c = store.before(spark, batch_id) or {"seen": 0, "matched": 0}
         d = batch.withColumn("_m", F.when(match, 1).otherwise(0).cast("long"))
         pos = running_sums(d, order, {"_p": F.lit(1).cast("long"), "_q": F.col("_m")}, bucket=bucket)
-        seen = F.col("_p") + F.lit(c["seen"])
-        out = pos.where(seen % n == 0).select(
-            (seen / n).cast("long").alias("fire"), seen.alias("n_seen"),
+        pos = pos.withColumn("_s", F.col("_p") + F.lit(int(c["seen"])))
+        out = pos.where(F.col("_s") % n == 0).select(
+            F.expr(f"_s div {int(n)}").alias("fire"), F.col("_s").alias("n_seen"),
             (F.col("_q") + F.lit(c["matched"])).alias("n_match"))
         _write_output(out, out_path, batch_id)
         tot = d.agg(F.count(F.lit(1)).alias("s"), F.coalesce(F.sum("_m"), F.lit(0)).alias("m"))
