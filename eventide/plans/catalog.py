@@ -43,6 +43,10 @@ LABEL_REGISTERED = "players registered"
 
 
 def _ev(spark: SparkSession, sf: str) -> DataFrame:
+    # Event times are naive UTC (as the oracle reads them); epoch values and
+    # report strings derive from them through the session time zone.
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return events_table(spark, sf)
 
 

@@ -19,8 +19,11 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # AQE may turn a sort-merge join into a broadcast join only after the
-    # build side's shuffle output was measured below this size.
+    # No broadcast from planning-time estimates (they come from compressed
+    # file sizes and can be far off).  AQE turns a sort-merge join into a
+    # broadcast join only after the build side's shuffle output was measured
+    # below this size: a proven bound, with the sort-merge join beyond it.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
