@@ -8,7 +8,9 @@ a hash of the values.  Plan helpers read ``explain`` text only.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import io
 import json
 import sys
 import time
@@ -90,8 +92,11 @@ def check_all(spark: SparkSession, sf_dir: str, names: Iterable[str] | None = No
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
-    return df._jdf.queryExecution().executedPlan().toString() if mode == "executed" else \
-        df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    """The text ``df.explain(mode)`` prints."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 def single_partition_exchanges(df: DataFrame) -> int:
