@@ -36,15 +36,33 @@ class CarryStore:
         self.path = path
 
     def before(self, spark: SparkSession, batch_id: int) -> dict | None:
-        """Carry written by the latest batch before ``batch_id`` (None at start)."""
+        """Carry written by the batch before ``batch_id`` (None at start).
+
+        Micro-batch ids are consecutive, so this is the folder of
+        ``batch_id - 1``: one small read however long the stream has run.  A
+        replayed batch reads the same folder again, so it gets the same carry.
+        """
+        if batch_id <= 0:
+            return None
+        try:
+            rows = spark.read.parquet(f"{self.path}/batch_id={batch_id - 1}").collect()
+        except Exception:  # no carry for the previous id: look further back
+            return self._scan(spark, batch_id)
+        return rows[0].asDict() if rows else None
+
+    def _scan(self, spark: SparkSession, batch_id: int) -> dict | None:
         if not os.path.isdir(self.path) and "://" not in self.path:
             return None
         try:
             df = spark.read.parquet(self.path)
-        except Exception:  # no carry written yet
+        except Exception:  # nothing written yet
             return None
         row = df.where(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
-        return row[0].asDict() if row else None
+        if not row:
+            return None
+        d = row[0].asDict()
+        d.pop("batch_id", None)
+        return d
 
     def write(self, row: DataFrame, batch_id: int) -> None:
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
