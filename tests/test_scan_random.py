@@ -1,0 +1,68 @@
+"""Random inputs and bucket widths: bucketed scans equal a plain Python loop."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventide.operators import scan, windows
+
+ROWS = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 40), st.booleans()), min_size=1, max_size=60)
+SCHEMA = T.StructType([T.StructField("seq", T.LongType()), T.StructField("k", T.LongType()),
+                       T.StructField("t", T.TimestampType()), T.StructField("m", T.BooleanType())])
+BASE = dt.datetime(2024, 1, 1)
+
+
+def _df(spark, rows):
+    # seq = position (unique, arrival order); time = a non-decreasing walk
+    out, t = [], 0
+    for i, (k, step, m) in enumerate(rows):
+        t += step
+        out.append((i, k, BASE + dt.timedelta(seconds=t), m))
+    return spark.createDataFrame(out, SCHEMA), out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ROWS, width=st.integers(1, 9), n=st.integers(1, 4))
+def test_scans_match_python(spark, rows, width, n):
+    df, raw = _df(spark, rows)
+    b = scan.seq_bucket("seq", width)
+    sums = scan.running_sums(df, "seq", {"c": F.lit(1).cast("long"), "mm": F.col("m").cast("long")},
+                             keys=["k"], bucket=b)
+    tails = scan.last_n(df, "seq", n, F.col("seq"), "ln", keys=["k"], bucket=b)
+    ff = scan.forward_fill(df, "seq", {"f": F.when(F.col("m"), F.col("seq"))}, keys=["k"], bucket=b)
+    got_s = {r.seq: (r.c, r.mm) for r in sums.collect()}
+    got_l = {r.seq: list(r.ln) for r in tails.collect()}
+    got_f = {r.seq: r.f for r in ff.collect()}
+    seen: dict[int, list] = {}
+    for seq, k, _, m in raw:
+        seen.setdefault(k, []).append((seq, m))
+        hist = seen[k]
+        assert got_s[seq] == (len(hist), sum(int(x) for _, x in hist))
+        assert got_l[seq] == [s for s, _ in hist][-n:]
+        flagged = [s for s, x in hist if x]
+        assert got_f[seq] == (flagged[-1] if flagged else None)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ROWS, gap=st.integers(0, 12), width=st.integers(1, 30))
+def test_sessions_match_python(spark, rows, gap, width):
+    df, raw = _df(spark, rows)
+    out = windows.sessions(df, "t", f"{gap} seconds", {"n": windows.count_measure()}, keys=["k"],
+                           bucket_width=f"{width} seconds")
+    got = sorted((r.k, r.window_start, r.window_end, r.n) for r in out.collect())
+    exp = []
+    for k in sorted({r[1] for r in raw}):
+        ts = sorted(r[2] for r in raw if r[1] == k)
+        start, last, cnt = ts[0], ts[0], 1
+        for t in ts[1:]:
+            if (t - last).total_seconds() > gap:
+                exp.append((k, start, last + dt.timedelta(seconds=gap), cnt))
+                start, cnt = t, 0
+            last, cnt = t, cnt + 1
+        exp.append((k, start, last + dt.timedelta(seconds=gap), cnt))
+    assert got == sorted(exp)
