@@ -115,8 +115,29 @@ def with_report(df: DataFrame, count_col: str, label: str, name: str = "report")
     return df.withColumn(name, window_report(START, END, count_col, label))
 
 
+SESSION_BUCKET_ROWS = 1 << 20
+_US_PER_DAY = 86_400_000_000
+
+
+def auto_bucket_width(df: DataFrame, time_col: str, target_rows: int = SESSION_BUCKET_ROWS) -> int:
+    """Time-bucket width (microseconds) holding ``target_rows`` rows on
+    average over the whole table, between 1 second and 1 day.
+
+    One small statistics job (row count and time span; the count comes from
+    parquet footers).  Since a bucket of the whole table holds that many rows
+    on average, so does any one key's share of it, the hottest key included.
+    """
+    st = df.agg(F.count(F.lit(1)).alias("n"), F.min(epoch_us(time_col)).alias("lo"),
+                F.max(epoch_us(time_col)).alias("hi")).first()
+    if not st or not st["n"] or st["lo"] is None:
+        return _US_PER_DAY
+    span = max(st["hi"] - st["lo"], 1)
+    width = span * target_rows // st["n"]
+    return int(min(max(width, 1_000_000), _US_PER_DAY))
+
+
 def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Column],
-             keys: Sequence[str] = (), bucket_width: str = "1 hour") -> DataFrame:
+             keys: Sequence[str] = (), bucket_width: str | int | None = None) -> DataFrame:
     """Session windows: events no more than ``gap`` apart share a session.
 
     Output: keys..., window_start (first event), window_end (last event + gap),
@@ -133,8 +154,14 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
       before it; the carry is the latest start of all earlier buckets;
     * rows before their bucket's first definite start take the head start
       (own first row, or the carry); then ``groupBy(key, session start)``.
+
+    ``bucket_width`` (duration or microseconds) defaults to
+    ``auto_bucket_width``: wide enough that the bucket table stays small,
+    narrow enough that a bucket fits a task at any scale.
     """
     keys = list(keys)
+    if bucket_width is None:
+        bucket_width = auto_bucket_width(df, time_col)
     gap_us = duration_us(gap)
     d = (df.withColumn("_t", epoch_us(time_col)).withColumn(BUCKET, time_bucket(time_col, bucket_width))
            .where(not_null(*keys, "_t")))
