@@ -81,3 +81,19 @@ def processing_time_windows(stream: DataFrame, size: str, measures: Mapping[str,
     g = stamped.groupBy(F.window(stamp, size).alias("_w")).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in measures.items()])
     return g.select(F.col("_w.start").alias(START), F.col("_w.end").alias(END), *measures)
+
+
+def processing_time_count_trigger(stream: DataFrame, size: str, order: str, n: int, match: Column,
+                                  purge: bool = False, stamp: str = "processing_time") -> DataFrame:
+    """Count trigger inside tumbling processing-time windows: rows are
+    stamped with the micro-batch time, keyed by their window, and a
+    ``CountTrigger`` processor fires every n-th row of each window (contents
+    kept, or purged after each fire).  Output: window_start, window_end,
+    fire, n_seen, n_match."""
+    from eventide.streaming.stateful import CountTrigger, apply_stateful
+    w = (stream.withColumn(stamp, F.current_timestamp())
+               .withColumn("_w", F.window(stamp, size))
+               .select(order, F.col("_w.start").alias(START), F.col("_w.end").alias(END),
+                       F.coalesce(match, F.lit(False)).alias("is_match")))
+    return apply_stateful(w, [START, END], CountTrigger([START, END], order, n, "is_match", purge=purge),
+                          "window_start timestamp, window_end timestamp, fire long, n_seen long, n_match long")

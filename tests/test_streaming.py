@@ -339,3 +339,21 @@ def test_foreach_batch_replay_is_idempotent(spark, scratch):
     fn(parts[3], 3)
     got = spark.read.parquet(out_path).drop("batch_id")
     _same_rows(got, catalog.ev_count_trigger(spark, SF0001), ["fire", "n_seen", "n_match"])
+
+
+@pytest.mark.parametrize("purge", [False, True])
+def test_processing_time_count_trigger(spark, scratch, purge):
+    ev, folder = _events_replay(spark, scratch)
+    st = replay.replay_stream(spark, folder, ev.schema)
+    n = 3 if not purge else 2
+    out = swin.processing_time_count_trigger(st, "5 seconds", "seq", n, F.col("event_type") == KE.add, purge=purge)
+    name = f"ptct{int(purge)}"
+    _run(out, scratch, name)
+    rows = spark.table(name).collect()
+    assert rows
+    for r in rows:
+        assert r.n_match <= (r.n_seen if not purge else n)
+        assert (r.n_seen % n == 0) if not purge else (r.n_seen == n)
+    # every window fires floor(rows_in_window / n) times; over all windows this
+    # is at most rows / n
+    assert len(rows) <= ev.count() // n
