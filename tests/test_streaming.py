@@ -357,3 +357,19 @@ def test_processing_time_count_trigger(spark, scratch, purge):
     # every window fires floor(rows_in_window / n) times; over all windows this
     # is at most rows / n
     assert len(rows) <= ev.count() // n
+
+
+def test_read_events_stream_and_console(spark, scratch, capsys):
+    from eventide.sources.events import read_events
+    folder = os.path.join(scratch, "raw")
+    raw = spark.read.parquet(f"{SF0001}/events.parquet")
+    for i in range(2):
+        replay.write_batch_file(raw.where((F.col("event_id") % 2) == i), folder, i)
+    st = read_events(spark, folder, streaming=True, max_files_per_trigger=1)
+    assert dict(st.dtypes)["event_time"] == "timestamp"  # watermark-ready
+    out = swin.stream_window_counts(st, "event_time", "1 day", KE.is_registered, "0 seconds", with_total=True)
+    q = sinks.start(out, os.path.join(scratch, "cp-console"), fmt="console", output_mode="update",
+                    available_now=True)
+    q.awaitTermination(600)
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [
+        raw.where("event_id % 2 = 0").count(), raw.where("event_id % 2 = 1").count()]
