@@ -147,9 +147,11 @@ def forward_fill(df: DataFrame, order: str, fills: Mapping[str, Column],
         Window.unboundedPreceding, Window.currentRow)
     local = d.select("*", *[F.last(f"_v{i}", ignorenulls=True).over(local_w).alias(f"_l{i}")
                             for i in range(len(fills))])
-    totals = d.groupBy(*keys, BUCKET).agg(*[
-        F.max_by(f"_v{i}", F.when(F.col(f"_v{i}").isNotNull(), F.col(order))).alias(f"_t{i}")
-        for i in range(len(fills))])
+    # the bucket's latest non-null value is the running fill at its last row;
+    # taken from the local pass, so both branches fork above one exchange and
+    # an expensive input (e.g. a last-n scan) is computed once
+    totals = local.groupBy(*keys, BUCKET).agg(*[
+        F.max_by(f"_l{i}", F.col(order)).alias(f"_t{i}") for i in range(len(fills))])
     carry_w = _win(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, *[F.last(f"_t{i}", ignorenulls=True).over(carry_w).alias(f"_c{i}")
                                           for i in range(len(fills))])
