@@ -102,7 +102,9 @@ def running_max(df: DataFrame, order: str, name: str, value: Column,
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("_l", F.max("_v").over(local_w))
-    totals = d.groupBy(*keys, BUCKET).agg(F.max("_v").alias("_t"))
+    # bucket maxima from the local pass: its input (typically a derived table
+    # such as window results) is computed once below one shared exchange
+    totals = local.groupBy(*keys, BUCKET).agg(F.max("_l").alias("_t"))
     carry_w = _win(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, F.max("_t").over(carry_w).alias("_c"))
     out = local.join(carry, [*keys, BUCKET], "inner")
