@@ -11,8 +11,11 @@ time bucket), so the unit of work is ``(key, bucket)``, whose size is bounded
 by the bucket width however hot the key is:
 
 1. local pass   window over ``partition by key, bucket order by seq``
-2. bucket table one row per ``(key, bucket)`` with the bucket's summary
-                (a sum, a max, the bucket's last n values, ...)
+2. bucket table one row per ``(key, bucket)`` with the bucket's summary:
+                sums straight from the input rows (partial aggregation, a
+                small shuffle); max, last non-null and last n values from
+                the local pass (already partitioned by ``(key, bucket)``, so
+                both branches fork above one shared exchange)
 3. carry        a window over the bucket table, per key in bucket order:
                 the combined summary of all *earlier* buckets
 4. join back    on ``(key, bucket)``; the big side is already hash-partitioned
