@@ -153,7 +153,9 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
       starts a session iff the previous bucket's max is more than ``gap``
       before it; the carry is the latest start of all earlier buckets;
     * rows before their bucket's first definite start take the head start
-      (own first row, or the carry); then ``groupBy(key, session start)``.
+      (own first row, or the carry); local sessions are aggregated inside the
+      ``(key, bucket)`` partitions first, then ``groupBy(key, session start)``
+      merges the pieces of sessions that span buckets.
 
     ``bucket_width`` (duration or microseconds) defaults to
     ``auto_bucket_width``: wide enough that the bucket table stays small,
@@ -170,17 +172,27 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
     prev = F.lag("_t").over(lw)
     local = (d.withColumn("_def", F.when(prev.isNotNull() & (F.col("_t") - prev > gap_us), F.col("_t")))
               .withColumn("_ls", F.max("_def").over(run)))
-    bt = local.groupBy(*keys, BUCKET).agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"),
-                                         F.max("_def").alias("_bdef"))
+    # local sessions: rows of one (key, bucket) with the same definite start
+    # (null: the bucket's head rows, whose session the carry decides).  Built
+    # in the partitions of the local pass (no exchange); the bucket table and
+    # the stitching below both read it, so they share one raw-row exchange,
+    # and the final group-by moves one partial row per local session.
+    ls = local.groupBy(*keys, BUCKET, "_ls").agg(
+        F.min("_t").alias("_lmin"), F.max("_t").alias("_lmax"),
+        F.min(time_col).alias("_first"), F.max(time_col).alias("_last"),
+        *[F.sum(e).alias(f"_m_{n}") for n, e in measures.items()])
+    bt = ls.groupBy(*keys, BUCKET).agg(F.min("_lmin").alias("_bmin"), F.max("_lmax").alias("_bmax"),
+                                      F.max("_ls").alias("_bdef"))
     bw = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(BUCKET)
     prev_max = F.lag("_bmax").over(bw)
-    bt = bt.withColumn("_first", prev_max.isNull() | (F.col("_bmin") - prev_max > gap_us))
-    bt = bt.withColumn("_beff", F.greatest("_bdef", F.when(F.col("_first"), F.col("_bmin"))))
+    bt = bt.withColumn("_bfirst", prev_max.isNull() | (F.col("_bmin") - prev_max > gap_us))
+    bt = bt.withColumn("_beff", F.greatest("_bdef", F.when(F.col("_bfirst"), F.col("_bmin"))))
     bt = bt.withColumn("_carry", F.max("_beff").over(bw.rowsBetween(Window.unboundedPreceding, -1)))
-    bt = bt.select(*keys, BUCKET, F.when(F.col("_first"), F.col("_bmin")).otherwise(F.col("_carry")).alias("_head"))
-    tagged = local.join(bt, [*keys, BUCKET], "inner").withColumn("_sid", F.coalesce("_ls", "_head"))
+    bt = bt.select(*keys, BUCKET, F.when(F.col("_bfirst"), F.col("_bmin")).otherwise(F.col("_carry")).alias("_head"))
+    tagged = ls.join(bt, [*keys, BUCKET], "inner").withColumn("_sid", F.coalesce("_ls", "_head"))
     out = tagged.groupBy(*keys, "_sid").agg(
-        F.min(time_col).alias(START), F.max(time_col).alias("_last"), *_sum_aggs(measures))
+        F.min("_first").alias(START), F.max("_last").alias("_last"),
+        *[F.sum(f"_m_{n}").cast("long").alias(n) for n in measures])
     return out.select(*keys, START,
                       F.timestamp_add("MICROSECOND", F.lit(gap_us).cast("long"), F.col("_last")).alias(END),
                       *measures)
