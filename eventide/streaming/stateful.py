@@ -216,13 +216,13 @@ class HistoryPages(_Keyed):
             if len(page) == self.page_size:
                 page = []
         self.pos.update((pos,))
-        self.page.put([(v,) for v in page]) if page else self.page.clear()
+        if page:
+            self.page.put([(v,) for v in page])
+        else:
+            self.page.clear()
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order],
                             "position": positions, "page": pages, "history": texts})
 
-    def close(self) -> None:
-        pass
-
 
 def apply_stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
                    output_schema: str, output_mode: str = "Append", ttl_ms: int | None = None) -> DataFrame:
