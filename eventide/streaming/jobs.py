@@ -55,9 +55,11 @@ def _double(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([b.column("seq"), pc.multiply(b.column("seq"), 2)], names=["seq", "doubled"])
 
 
-def doubled_job(events: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """``x * 2`` through a per-partition Arrow map with set-up and tear-down."""
-    res = transform.partition_map(events.select("seq"), _double, "seq long, doubled long")
+def doubled_job(events: DataFrame, out: str, checkpoint: str, available_now: bool = False,
+                setup=None) -> StreamingQuery:
+    """``x * 2`` through a per-partition Arrow map; ``setup`` (a context
+    manager factory) runs around each partition: the open/close hooks."""
+    res = transform.partition_map(events.select("seq"), _double, "seq long, doubled long", setup=setup)
     return _start(res, out, checkpoint, available_now)
 
 
