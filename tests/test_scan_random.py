@@ -66,3 +66,17 @@ def test_sessions_match_python(spark, rows, gap, width):
             last, cnt = t, cnt + 1
         exp.append((k, start, last + dt.timedelta(seconds=gap), cnt))
     assert got == sorted(exp)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ROWS, slide=st.integers(1, 7), k=st.integers(1, 5))
+def test_preaggregated_sliding_equals_native(spark, rows, slide, k):
+    df, _ = _df(spark, rows)
+    size = f"{slide * k} seconds"
+    m = {"n": windows.count_measure(), "mm": windows.count_measure(F.col("m"))}
+    fast = windows.window_sums(df, "t", size, m, slide=f"{slide} seconds", keys=["k"])
+    native = windows.window_aggregate(df, "t", size, {n: F.sum(e).cast("long") for n, e in m.items()},
+                                      slide=f"{slide} seconds" if k > 1 else None, keys=["k"])
+    cols = ["window_start", "window_end", "k", "n", "mm"]
+    assert sorted(tuple(r[c] for c in cols) for r in fast.collect()) == \
+        sorted(tuple(r[c] for c in cols) for r in native.collect())
