@@ -172,21 +172,25 @@ class CountTrigger(_Keyed):
         if pdf.empty:
             return
         seen, matched, fires = self.acc.get() if self.acc.exists() else (0, 0, 0)
-        out = []
-        first = pdf.iloc[0]
-        for m in pdf[self.match].astype(bool):
-            seen += 1
-            matched += int(m)
-            if seen % self.n == 0:
-                fires += 1
-                out.append((fires, seen if not self.purge else self.n, matched))
-                if self.purge:
-                    seen, matched = 0, 0
-        self.acc.update((seen, matched, fires))
-        if out:
-            fire, n_seen, n_match = zip(*out)
-            yield pd.DataFrame({**{k: [first[k]] * len(out) for k in self.keys},
-                                "fire": list(fire), "n_seen": list(n_seen), "n_match": list(n_match)})
+        m = pdf[self.match].fillna(False).astype(bool).to_numpy().astype("int64")
+        pos = seen + np.arange(1, len(m) + 1, dtype="int64")   # rows since the last purge (or ever)
+        cm = matched + np.cumsum(m)                              # matches over the same span
+        at = np.nonzero(pos % self.n == 0)[0]
+        if self.purge:
+            base = np.concatenate([[0], cm[at[:-1]]]) if len(at) else np.zeros(0, dtype="int64")
+            n_seen, n_match = np.full(len(at), self.n, dtype="int64"), cm[at] - base
+            last = at[-1] if len(at) else None
+            seen = int(pos[-1] - (pos[last] if last is not None else 0))
+            matched = int(cm[-1] - (cm[last] if last is not None else 0))
+        else:
+            n_seen, n_match = pos[at], cm[at]
+            seen, matched = int(pos[-1]), int(cm[-1])
+        self.acc.update((seen, matched, fires + len(at)))
+        if len(at):
+            first = pdf.iloc[0]
+            yield pd.DataFrame({**{k: [first[k]] * len(at) for k in self.keys},
+                                "fire": fires + np.arange(1, len(at) + 1, dtype="int64"),
+                                "n_seen": n_seen, "n_match": n_match})
 
 
 class HistoryPages(_Keyed):

@@ -160,7 +160,8 @@ def test_stateful_type_counts_and_last5_equal_batch(spark, scratch):
                ["seq", "user_id", "last5_add", "last5_remove"])
 
 
-def test_stateful_window_count_trigger_equals_batch(spark, scratch):
+@pytest.mark.parametrize("purge", [False, True])
+def test_stateful_window_count_trigger_equals_batch(spark, scratch, purge):
     ev, folder = _events_replay(spark, scratch)
     st = replay.replay_stream(spark, folder, ev.schema)
     w = (st.withColumn("_w", F.window("event_time", "6 hours"))
@@ -168,12 +169,12 @@ def test_stateful_window_count_trigger_equals_batch(spark, scratch):
                    (F.col("event_type") == KE.add).alias("is_add")))
     out = stateful.apply_stateful(
         w, ["window_start", "window_end"],
-        stateful.CountTrigger(["window_start", "window_end"], "seq", 3, "is_add"),
+        stateful.CountTrigger(["window_start", "window_end"], "seq", 3, "is_add", purge=purge),
         "window_start timestamp, window_end timestamp, fire long, n_seen long, n_match long")
-    _run(out, scratch, "wct")
+    _run(out, scratch, f"wct{int(purge)}")
     batch = counting.window_count_trigger(ev, "event_time", "6 hours", "seq", 3,
-                                          {"n_match": windows.count_measure(KE.is_add)})
-    _same_rows(spark.table("wct"), batch, ["window_start", "fire", "n_seen", "n_match"])
+                                          {"n_match": windows.count_measure(KE.is_add)}, purge=purge)
+    _same_rows(spark.table(f"wct{int(purge)}"), batch, ["window_start", "fire", "n_seen", "n_match"])
 
 
 def test_history_pages_stream(spark, scratch):
