@@ -32,7 +32,8 @@ def replay_stream(spark: SparkSession, folder: str, schema: T.StructType,
 def write_batch_file(df: DataFrame, folder: str, index: int) -> str:
     """Write ``df`` as one parquet file ``folder/batch-<index>.parquet``.
 
-    Meant for replay fixtures: the rows go through Spark's own writer into a
+    Meant for replay fixtures on a local file system (it renames files with
+    ``os``), not for cluster storage: the rows go through Spark's own writer into a
     scratch folder, then the single part file is moved next to the others,
     with a modification time that keeps the files in index order.
     """
