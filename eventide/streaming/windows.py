@@ -97,3 +97,11 @@ def processing_time_count_trigger(stream: DataFrame, size: str, order: str, n: i
                        F.coalesce(match, F.lit(False)).alias("is_match")))
     return apply_stateful(w, [START, END], CountTrigger([START, END], order, n, "is_match", purge=purge),
                           "window_start timestamp, window_end timestamp, fire long, n_seen long, n_match long")
+
+
+def running_totals(stream: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Rolling reduce reported once per key and micro-batch: a plain keyed
+    aggregation, run in output mode ``update``.  Stays in the JVM (partial
+    aggregation, state store), so it is the cheap choice when the latest total
+    per key is enough; ``stateful.RunningSum`` reports every event."""
+    return stream.groupBy(*keys).agg(*[F.sum(e).cast("long").alias(n) for n, e in sums.items()])

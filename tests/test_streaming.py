@@ -374,3 +374,17 @@ def test_read_events_stream_and_console(spark, scratch, capsys):
     q.awaitTermination(600)
     assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [
         raw.where("event_id % 2 = 0").count(), raw.where("event_id % 2 = 1").count()]
+
+
+def test_running_totals_update_mode(spark, scratch):
+    ev, folder = _events_replay(spark, scratch)
+    st = replay.replay_stream(spark, folder, ev.schema)
+    out = swin.running_totals(st, ["user_id"], {"n": F.lit(1), "s": F.col("seq")})
+    q = _run(out, scratch, "rtot", mode="update")
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 4
+    # the memory sink keeps every update; the last one per key is the total
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy(F.desc("n"))
+    final = spark.table("rtot").withColumn("r", F.row_number().over(w)).where("r = 1")
+    exp = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("s"))
+    _same_rows(final, exp, ["user_id", "n", "s"])
