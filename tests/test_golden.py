@@ -256,3 +256,11 @@ def test_player_identity_and_game_type_check(spark):
     bad = server_events(spark).limit(1).withColumn("game_type", F.lit("Solo"))
     with _pt.raises(PySparkException):
         with_identity(bad).collect()
+
+
+def test_last_n_keeps_null_values(spark):
+    from eventide.operators import scan
+    ev = cart_events(spark, [(ADD, "u", f"s{i}", 1) for i in range(1, 5)]).withColumn(
+        "v", F.when(F.col("seq") == 2, F.lit(None)).otherwise(F.col("seq")))
+    out = scan.last_n(ev, "seq", 3, F.col("v"), "l", keys=["user_id"], bucket=(F.col("seq") / 2).cast("long"))
+    assert [r.l for r in out.orderBy("seq").collect()] == [[1], [1, None], [1, None, 3], [None, 3, 4]]
