@@ -118,8 +118,9 @@ def last_n(df: DataFrame, order: str, n: int, value: Column, name: str,
            keys: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
     """Add ``name``: array of the last ``n`` values of ``value`` (oldest first)
     among rows of the key with ``order`` <= this row's.  Null values take
-    their place in the list (values travel wrapped in a struct, which
-    ``collect_list`` keeps even when the value is null).
+    their place in the list: values travel wrapped in a struct, which
+    ``collect_list`` keeps even when the value is null (the order column
+    itself, the common case of "ids of the last n events", needs no wrapping).
 
     A bucket's summary is its own last n values; the carry into a bucket is
     the last n values over the (at most n) previous non-empty buckets, each of
@@ -130,7 +131,10 @@ def last_n(df: DataFrame, order: str, n: int, value: Column, name: str,
     keys = list(keys)
     d = _bucketed(df, order, bucket, keys)
     local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(-(n - 1), Window.currentRow)
-    local = d.withColumn("_l", F.collect_list(F.struct(value.alias("v"))).over(local_w))
+    # the order column itself is never null here (rows without an order have
+    # no bucket and are dropped), so it skips the struct wrapping
+    wrap = str(value) != str(F.col(order))
+    local = d.withColumn("_l", F.collect_list(F.struct(value.alias("v")) if wrap else value).over(local_w))
     tails = local.groupBy(*keys, BUCKET).agg(F.max_by("_l", F.col(order)).alias("_t"))
     carry_w = _win(keys).orderBy(BUCKET).rowsBetween(-n, -1)
     carry = tails.select(*keys, BUCKET, F.flatten(F.collect_list("_t").over(carry_w)).alias("_c"))
@@ -138,7 +142,7 @@ def last_n(df: DataFrame, order: str, n: int, value: Column, name: str,
     empty = F.filter(F.col("_l"), lambda x: F.lit(False))
     full = F.concat(F.coalesce(F.col("_c"), empty), F.col("_l"))
     last = F.slice(full, F.greatest(F.size(full) - n + 1, F.lit(1)), n)
-    return out.select(*df.columns, F.transform(last, lambda x: x["v"]).alias(name))
+    return out.select(*df.columns, (F.transform(last, lambda x: x["v"]) if wrap else last).alias(name))
 
 
 def forward_fill(df: DataFrame, order: str, fills: Mapping[str, Column],
