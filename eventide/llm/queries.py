@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import quality, tokens
+from eventide.llm import quality, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -24,9 +24,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs).drop("text")
 
 
+#: The rules and their verdicts.
+URL_RULES = [urls.Rule.parse(rule, verdict) for rule, verdict in (
+    ("com/", urls.ALLOW), ("example.com/en/", urls.BLOCK), ("www.example.com/en/", urls.ALLOW),
+    ("net/es/", urls.BLOCK), ("net/fr/", urls.BLOCK))]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.url_verdicts(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
+    "op3_url_filters": op3_url_filters,
 }
 
 #: The verdict does not depend on the order of the rules, so SQL needs none.
@@ -60,6 +72,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP3_SQL = r"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+r AS (SELECT *, CASE
+    WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
+    "op3_url_filters": OP3_SQL,
 }
