@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import quality, tokens, urls
+from eventide.llm import licences, mixing, quality, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -35,10 +35,31 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = licences.licence_scan(docs).drop("text")
+    base = F.transform(F.filter("hits", lambda h: h["template"].isin(licences.base_numbers())), lambda h: h["start"])
+    out = scanned.withColumn("base", base)
+    return out.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base").cast("long").alias("first_word"), F.array_max("base").cast("long").alias("last_word"),
+        licences.labels_of(F.col("hits"), base_only=True).alias("base_labels"),
+        licences.labels_of(F.col("hits")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0)).alias("score"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.sampled(docs).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
+    "op5_license_scans": op5_license_scans,
+    "op8_mixing": op8_mixing,
 }
 
 #: The verdict does not depend on the order of the rules, so SQL needs none.
@@ -90,7 +111,70 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+#: Index words only find the places of key phrases faster: SQL tries them all.
+OP5_SQL = r"""
+WITH t(label, notice, k, ofs, base) AS (VALUES
+""" + ",\n".join(
+    f"  ('{t.label}', string_split('{t.notice}', ' '), string_split('{t.key}', ' '), {t.key_at}, {t.base})"
+    for t in licences.TEMPLATES) + r"""),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+s AS (
+  SELECT rid, label, notice, ofs, base, w, unnest(list_filter(range(0, len(w)), lambda i: list_slice(w, i + 1, i + len(k)) = k)) AS i
+  FROM d, t),
+hits AS (
+  SELECT rid, label, base, i, len(list_filter(range(0, len(notice)), lambda j: i - ofs + j >= 0
+           AND coalesce(w[i - ofs + j + 1] = notice[j + 1], false))) / CAST(len(notice) AS DOUBLE) AS share
+  FROM s),
+a AS (
+  SELECT rid, count(*) FILTER (base) AS n_base, min(i) FILTER (base) AS first_word, max(i) FILTER (base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM hits GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN a USING (rid)
+"""
+
+OP8_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+g AS (SELECT *, CAST(floor(log2(size + 1.0::DOUBLE) * 4) AS BIGINT) AS class,
+             coalesce(((doc_id % {mixing.SLICES}) + {mixing.SLICES}) % {mixing.SLICES}, 0) AS slice FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, source_size * 3.0::DOUBLE AS stop,
+         ([5.0::DOUBLE, 2.0, 1.0])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM s),
+f AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(stop) OVER o, 0.0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0.0)) AS fill
+  FROM w WINDOW o AS (ORDER BY stop / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, source_size, least(stop, coalesce(level * weight, stop)) AS target
+  FROM (SELECT *, min(fill) FILTER (fill * weight <= stop) OVER () AS level FROM f)),
+r AS (
+  SELECT g.*, row_number() OVER (PARTITION BY source ORDER BY class, slice, size, doc_id NULLS FIRST) AS rank,
+         coalesce(('0x' || substr(md5(coalesce('{mixing.SEED}:s' || source, '{mixing.SEED}:null')), 1, 8))::BIGINT, 0)
+           / 4294967296.0::DOUBLE AS u
+  FROM g),
+c AS (
+  SELECT r.doc_id, r.size, t.source_size, t.target, u, rank,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
+  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(floor(rate * rank + u) - floor(rate * (rank - 1) + u) AS BIGINT) * size AS taken
+FROM c
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
     "op3_url_filters": OP3_SQL,
+    "op5_license_scans": OP5_SQL,
+    "op8_mixing": OP8_SQL,
 }
