@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import licences, mixing, quality, tokens, urls
+from eventide.llm import licences, mixing, quality, simhash, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -54,12 +54,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
     "op5_license_scans": op5_license_scans,
     "op8_mixing": op8_mixing,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 #: The verdict does not depend on the order of the rules, so SQL needs none.
