@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import licences, mixing, quality, simhash, tokens, urls
+from eventide.llm import licences, mixing, quality, repeats, simhash, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -54,6 +54,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.repeat_report(docs)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -66,6 +71,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op5_license_scans": op5_license_scans,
     "op8_mixing": op8_mixing,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
