@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import licences, mixing, quality, repeats, simhash, tokens, urls
+from eventide.llm import decontam, licences, mixing, quality, repeats, simhash, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -48,6 +48,11 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0)).alias("score"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, table(spark, sf_dir, "benchmark")).drop(decontam.TEXT_HASH)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.sampled(docs).select(
@@ -70,6 +75,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
     "op5_license_scans": op5_license_scans,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_mixing": op8_mixing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
