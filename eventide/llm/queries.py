@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontam, licences, mixing, quality, repeats, simhash, tokens, urls
+from eventide.llm import classifier, decontam, licences, mixing, quality, repeats, simhash, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -35,6 +35,14 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return classifier.scored(docs, model).select(
+        "doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = licences.licence_scan(docs).drop("text")
@@ -74,6 +82,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filters": op3_url_filters,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scans": op5_license_scans,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_mixing": op8_mixing,
