@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import classifier, decontam, licences, mixing, quality, repeats, simhash, tokens, urls
+from eventide.llm import classifier, decontam, html_text, licences, mixing, quality, repeats, simhash, tokens, urls
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -56,6 +56,11 @@ def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("hits", lambda h: h["share"])), F.lit(0.0)).alias("score"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extracted(pages).select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.leaks(docs, table(spark, sf_dir, "benchmark")).drop(decontam.TEXT_HASH)
@@ -84,6 +89,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scans": op5_license_scans,
+    "op6_html_extraction": op6_html_extraction,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_mixing": op8_mixing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
