@@ -7,15 +7,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import quality
+from eventide.llm import decontam, mixing, quality, repeats, simhash
+from eventide.llm.common import shared_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule rejects go."""
     return quality.keep_good(docs)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return simhash.one_of_each(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that also occur earlier are cut out; every document stays a row."""
+    return repeats.without_repeats(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, with the number of the ``copy``."""
+    return mixing.mixed(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mixing_to_weights", mixing_to_weights),
 ]
 
 #: The stages hash, sort bytes and search fingerprints in ways that SQL cannot
@@ -24,14 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order; every stage's result is written to the shared folder
-    of ``spark.checkpoint.dir`` and read again."""
-    from eventide.llm.common import shared_folder
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages in order.  What a stage returns is written to the shared folder of
+    ``spark.checkpoint.dir`` and read again, so a lost executor costs one stage's
+    tasks at most; the last stage's rows are the result."""
+    docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

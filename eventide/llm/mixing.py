@@ -43,7 +43,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
 
     With sources by stop per weight, those before the first that its fair share
     of the rest does not fill are at their stops; the others share what is left
-    by weight.  One row per source."""
+    by weight.  That share per weight grows up to there and falls from there on, so
+    it is the largest of those that fit.  One row per source."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     at = (F.row_number().over(by_name) - 1) % len(weights) + 1
     w = sizes.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), at))
@@ -54,7 +55,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
     rest = F.sum("source_size").over(all_rows) - F.coalesce(F.sum("stop").over(before), F.lit(0.0))
     left = F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     w = w.withColumn("fill", rest / left)  # words per weight if only the earlier ones are at their stops
-    w = w.withColumn("level", F.min(F.when(F.col("fill") * F.col("weight") <= F.col("stop"), F.col("fill"))).over(all_rows))
+    w = w.withColumn("level", F.max(F.when(F.col("fill") * F.col("weight") <= F.col("stop"), F.col("fill"))).over(all_rows))
     return w.select("source", "source_size", F.least("stop", F.coalesce(F.col("level") * F.col("weight"), F.col("stop"))).alias("target"))
 
 

@@ -191,7 +191,7 @@ f AS (
   FROM w WINDOW o AS (ORDER BY stop / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
   SELECT source, source_size, least(stop, coalesce(level * weight, stop)) AS target
-  FROM (SELECT *, min(fill) FILTER (fill * weight <= stop) OVER () AS level FROM f)),
+  FROM (SELECT *, max(fill) FILTER (fill * weight <= stop) OVER () AS level FROM f)),
 r AS (
   SELECT g.*, row_number() OVER (PARTITION BY source ORDER BY class, slice, size, doc_id NULLS FIRST) AS rank,
          coalesce(('0x' || substr(md5(coalesce('{mixing.SEED}:s' || source, '{mixing.SEED}:null')), 1, 8))::BIGINT, 0)

@@ -144,8 +144,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """Per row: ``doc_id``, ``fp`` (signed fingerprint) and ``component_id``, the
-    smallest id reachable over links of at most ``radius`` differing bits.
+    """Per row: ``doc_id``, ``text_hash``, ``fp`` (signed fingerprint), ``root`` (a
+    fingerprint that stands for the component) and ``component_id``, the smallest
+    id reachable over links of at most ``radius`` differing bits.
 
     Null texts have no words: fingerprint zero, linked like any other.  Rows
     without an id belong to components but never name one (null if nothing else is
@@ -156,34 +157,37 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", s
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, size) for t in texts], dtype="int64")
 
-    rows = checkpointed(df.select(ref(row_id).alias("doc_id"), hashed(F.coalesce(ref(text), F.lit(""))).alias("fp")))
+    filled = F.coalesce(ref(text), F.lit(""))
+    rows = checkpointed(df.select(ref(row_id).alias("doc_id"), F.xxhash64(filled).alias("text_hash"), hashed(filled).alias("fp")))
     classes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = checkpointed(smallest_reachable(links(classes.select("fp"), radius)))
-    # only linked classes are joined: a component is its root's class and those below it
-    members = classes.join(roots.withColumnRenamed("node", "fp"), "fp").select("root", "least")
-    members = members.unionByName(classes.join(roots.select(F.col("root").alias("fp")).distinct(), "fp")
-                                  .select(F.col("fp").alias("root"), "least"))
+    # only linked classes are joined: each with its root, the roots with themselves
+    linked = roots.select("node", "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    members = classes.join(linked.withColumnRenamed("node", "fp"), "fp")
     named = members.groupBy("root").agg(F.min("least").alias("name"))
-    linked = roots.select("node", "root").unionByName(named.select(F.col("root").alias("node"), "root"))
-    linked = linked.join(named, "root").select(F.col("node").alias("fp"), "name")
-    final = classes.join(linked.withColumn("linked", F.lit(True)), "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("name")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(final, "fp").select("doc_id", "fp", "component_id")
+    placed = linked.join(named, "root").select(F.col("node").alias("fp"), "root", "name")
+    final = classes.join(placed, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNotNull(), F.col("name")).otherwise(F.col("least")).alias("component_id"))
+    return rows.join(final, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def one_of_each(df: DataFrame, row_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                 radius: int = RADIUS) -> DataFrame:
     """One row per component, the one with the smallest id; columns unchanged.
 
-    Of rows that share an id the one with the smallest hash of its columns stays
-    (they count as one document).  Rows without an id stay if no row with an id
-    is in their component.  An empty table stays empty.
+    Of rows that share that id the one with the smallest hash of its text stays, of
+    equal ones the one with the smallest hash of its other columns.  A component
+    without any id keeps one row in the same way.  An empty table stays empty.
     """
     found = near_duplicates(df, row_id, text, size, radius)
-    kept = found.groupBy("component_id").agg(F.lit(1).alias("one"))
-    own, rank = fresh(df.columns, "id"), fresh(df.columns, "rank")
-    rows = df.join(kept.select(F.col("component_id").alias(own)), ref(row_id).eqNullSafe(F.col(own)), "left_semi")
-    others = [ref(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind and c != row_id]
-    first = F.expr("1") if not others else F.xxhash64(*others)
-    numbered = rows.withColumn(rank, F.row_number().over(Window.partitionBy(ref(row_id)).orderBy(first)))
-    return numbered.where((F.col(rank) == 1) | ref(row_id).isNull()).drop(rank)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = found.groupBy("root").agg(F.min(first).alias("first"))
+    own, own_hash, rank = (fresh(df.columns, n) for n in ("id", "hash", "rank"))
+    kept = kept.select(F.col("first.doc_id").alias(own), F.col("first.text_hash").alias(own_hash))
+    text_hash = F.xxhash64(F.coalesce(ref(text), F.lit("")))
+    rows = df.join(kept, ref(row_id).eqNullSafe(F.col(own)) & (text_hash == F.col(own_hash)))
+    others = [ref(c) for c, kind in df.dtypes if c not in (row_id, text) and "map<" not in kind and "variant" not in kind]
+    order = F.xxhash64(*others) if others else F.lit(0)
+    numbered = rows.withColumn(rank, F.row_number().over(Window.partitionBy(F.col(own), F.col(own_hash)).orderBy(order)))
+    return numbered.where(F.col(rank) == 1).select(*map(ref, df.columns))
