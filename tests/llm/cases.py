@@ -1,0 +1,43 @@
+"""A small table with the awkward cases, shared by the operators' tests."""
+
+from __future__ import annotations
+
+import random
+
+LONG = " ".join(f"word{i % 700} and more" for i in range(6000))
+WORDS = "the of and to in is that river stone light green quiet paper window seven market".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rnd = random.Random(seed)
+    return " ".join(rnd.choice(WORDS) + rnd.choice(["", "", "s", "ed", "ing"]) for _ in range(n))
+
+
+COPY = prose(1, 90)
+#: (doc_id, text, lang, source): nulls, empty and long texts, repeated rows, ties.
+ROWS = [
+    (1, COPY, "en", "a"), (2, COPY, "en", "a"), (2, COPY, "en", "a"), (3, COPY + " end", None, None),
+    (4, None, "en", "a"), (5, "", "de", "b"), (6, " \n\t ", "de", "b"), (7, LONG, "en", "a"),
+    (8, prose(8, 300) + "\n" + COPY, "fr", "c"), (None, COPY, None, "b"), (None, "no id here " + prose(9, 40), "en", None),
+    (9, "É ÀÉ naïve 漢字 🙂 <|endoftext|> x" * 3, "fr", "c"), (10, "same same " * 60, "en", "a"),
+    (11, "LOUD!! WORDS!! " * 20, "en", "a"), (12, "Released under the MIT License.\nLicensed under CC BY-NC 4.0.", "en", "c"),
+    (13, "a\x00b zero", "en", "a"), (14, "x" * 5000, "en", "a"),
+    *[(100 + i, prose(100 + i, 60), "en", "a" if i % 3 else "b") for i in range(20)],
+]
+SCHEMA = "doc_id long, text string, lang string, source string"
+#: Extra columns whose names clash with what operators add.
+CLASHING = ("n_words", "Size", "copies", "score", "spans", "fp", "label", "hits", "key", "window", "copy", "_llm_id")
+
+
+def documents(spark, rows=ROWS, clashing: bool = False):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    if clashing:
+        from pyspark.sql import functions as F
+
+        for name in CLASHING:
+            df = df.withColumn(name, F.lit("extra"))
+    return df
+
+
+def texts(rows=ROWS):
+    return [(i, t or "") for i, t, *_ in rows]

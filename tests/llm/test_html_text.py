@@ -1,0 +1,75 @@
+"""Pages: hand-made layouts, a round trip of random trees, hostile input."""
+
+from __future__ import annotations
+
+import random
+import time
+
+import pytest
+
+from eventide.llm.html_text import extracted, page_text
+
+CASES = {
+    "a <b>b<p>c<br>d<p>e": "a b\n\nc\nd\n\ne",
+    "<title>t</title><head><meta><p>x": "x",
+    "<ul><li>one<li>two<ul><li>in</ul><li>three</ul>": "- one\n- two\n  - in\n- three",
+    "<ol start=3><li>a<li>b<p>bp</ol>": "3. a\n4. b\n\n   bp",
+    "<table><caption>cap</caption><tr><th>Name<th>Qty<tr><td>apple<td>1</table>x": "cap\nName   Qty\napple  1\n\nx",
+    "<table><td rowspan=2>r<td>x<tr><td>y</table>": "r  x\n   y",
+    "<table><tr><td colspan=2>wide cell<tr><td>a<td>b</table>": "wide cell\na  b",
+    "<table>foster<tr><td>c</table>": "foster\n\nc",
+    "<div hidden>n</div><p style='display: none'>n</p><i style=visibility:hidden>n<u style=visibility:visible>y</u></i>": "y",
+    "<script>if (a<b) '</p>'</script><style>x</style><!-- c --><noscript>n</noscript>t": "t",
+    "<pre>  a\n    b</pre>": "  a\n    b",
+    "<details>hid<summary>s</summary>hid</details><details open>h<summary>s</summary></details>": "s\nh\ns",
+    "<dl><dt>t<dd>d</dl>": "t\n  d",
+    "a &amp; &eacute; &lt;b&gt; 1 < 2 </ x": "a & é <b> 1 < 2",
+    "<textarea><b>raw</b></textarea>": "<b>raw</b>",
+    "<select><option>a<option>b</select>": "a\nb",
+    "</p></div>x</br>y": "x\ny",
+    "<a title='x > y' hidden=>n</a>m": "m",
+    "": "", "   \n ": "", "<": "<", "<p": "", "<!--": "",
+}
+
+
+@pytest.mark.parametrize("page", CASES)
+def test_layout(page):
+    assert page_text(page) == CASES[page]
+
+
+def test_every_visible_text_comes_out_in_order():
+    """Random trees of known texts: all the visible ones, in document order."""
+    rnd = random.Random(7)
+    for _ in range(200):
+        seen: list[str] = []
+
+        def tree(depth: int, shown: bool, seen=seen) -> str:
+            out = ""
+            for _ in range(rnd.randint(1, 4)):
+                if depth == 0 or rnd.random() < 0.4:
+                    seen += [f"w{len(seen)}"] if shown else []
+                    out += f" w{len(seen) - 1} " if shown else " hidden "
+                else:
+                    tag = rnd.choice(["div", "span", "b", "section", "blockquote", "article", "i"])
+                    hide = rnd.random() < 0.15
+                    out += f"<{tag}{' hidden' if hide else ''}>{tree(depth - 1, shown and not hide)}</{tag}>"
+            return out
+
+        page = tree(4, True)
+        assert page_text(page).split() == seen
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20000 + "x", "<p>x" * 20000, "<ul><li>x" * 20000, "<table><tr><td>" * 5000, "<!--" * 9999 + "<a " * 9999,
+                                 "<a b='" * 20000, "<td>x<tr>" * 5000, "&" * 50000, "<b><p>x" * 5000, "</b>" * 20000, "<table><td colspan=99999999>x" * 50])
+def test_hostile_pages_take_linear_time(page):
+    began = time.process_time()
+    page_text(page)
+    assert time.process_time() - began < 10
+
+
+def test_table(spark):
+    rows = [(1, "<p>a"), (1, "<p>a"), (2, None), (3, ""), (None, "<b>x")]
+    df = spark.createDataFrame([(i, h, "u") for i, h in rows], "page_id long, html string, text string")
+    got = sorted((str(r["page_id"]), r["text"]) for r in extracted(df).collect())
+    assert got == sorted((str(i), page_text(h)) for i, h in rows)
+    assert extracted(df.limit(0)).count() == 0
