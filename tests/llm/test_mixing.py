@@ -1,0 +1,74 @@
+"""Mixing: targets against step-by-step resharing, copies against the prefix sums."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventide.llm import mixing
+from tests.llm import cases
+
+
+def resharing(sizes, weights):
+    """Share by weight, stop at 3 sizes, share the excess among the others, again."""
+    total, stopped = sum(sizes.values()), {}
+    while True:
+        free = {s: w for s, w in weights.items() if s not in stopped}
+        left, parts = total - sum(stopped.values()), sum(free.values())
+        over = [s for s, w in free.items() if left * w / parts > 3 * sizes[s]]
+        if not over:
+            return stopped | {s: left * w / parts for s, w in free.items()}
+        stopped |= {s: 3 * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets(spark, seed):
+    rnd = random.Random(seed)
+    names = [*rnd.sample(["a", "b", "B", "é", "漢", "z", "", "src10", "src2"], rnd.randint(1, 9)), *[None] * rnd.randint(0, 1)]
+    sizes = {n: rnd.choice([0, 1, 5, 100, 3000, 10**6]) for n in names}
+    order = sorted((n for n in names if n is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in names)
+    weights = {n: (5, 2, 1)[i % 3] for i, n in enumerate(order)}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    assert got == pytest.approx(resharing(sizes, weights))
+
+
+def test_copies(spark):
+    rnd, rows = random.Random(3), list(cases.ROWS)
+    rows += [(5000 + i, cases.prose(i, rnd.randint(1, 80)), "en", rnd.choice(["hot", "hot", "hot", "b", "c", None])) for i in range(900)]
+    df = cases.documents(spark, rows, clashing=True).withColumn("rank", F.lit(1))
+    got = mixing.sampled(df, slices=4).collect()
+    assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted(
+        (str(i), len(re.findall("[^\x20\x09-\x0d]+", t))) for i, t in cases.texts(rows))
+    assert all(0 <= r["copies"] <= 3 for r in got)
+    again = mixing.sampled(df.repartition(7), slices=4).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    per: dict[float, list] = {}
+    for r in got:
+        per.setdefault((r["source_size"], r["target"]), []).append(r)
+    for (size, target), own in per.items():
+        copies, rate = sum(r["copies"] for r in own), target / size if size else 0
+        assert math.floor(rate * len(own)) <= copies <= math.ceil(rate * len(own)) + 1
+        assert {r["copies"] for r in own} <= {math.floor(rate), math.ceil(rate)}
+        if len(own) > 100:
+            assert sum(r["copies"] * r["size"] for r in own) == pytest.approx(target, rel=0.1)
+
+
+def test_mixed_emits_the_copies(spark):
+    df = cases.documents(spark, clashing=True)
+    want = {}
+    for r in mixing.sampled(df).collect():
+        want[r["doc_id"], r["size"]] = want.get((r["doc_id"], r["size"]), 0) + r["copies"]
+    out = mixing.mixed(df)
+    assert out.columns == [c for c in df.columns if c != "copy"] + ["copy"]
+    rows = out.collect()
+    for (i, size), n in want.items():
+        have = [r for r in rows if r["doc_id"] == i and len(re.findall("[^\x20\x09-\x0d]+", r["text"] or "")) == size]
+        assert n <= len(have) <= n + 1, (i, size)
+    assert mixing.mixed(df.limit(0)).count() == 0
+    nothing = df.withColumn("text", F.lit(None).cast("string"))
+    assert mixing.mixed(nothing).count() == 0 and {r["target"] for r in mixing.sampled(nothing).collect()} == {0.0}
