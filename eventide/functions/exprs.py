@@ -35,11 +35,6 @@ def duration_us(duration: str | int) -> int:
     return total
 
 
-def interval(us: int) -> Column:
-    """A day-time interval literal of ``us`` microseconds."""
-    return F.expr(f"make_dt_interval(0, 0, 0, {us / 1_000_000:.6f})")
-
-
 def epoch_us(ts: str | Column) -> Column:
     """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column
     (NTZ is read as UTC, which is the session time zone)."""
@@ -53,11 +48,19 @@ def epoch_ms(ts: str | Column) -> Column:
 
 
 def window_report(start: str | Column, end: str | Column, n: str | Column,
-                  label: str) -> Column:
-    """``[start_ms - end_ms] - n label``: the reference's window report line."""
+                  label: str | Column) -> Column:
+    """``[start_ms - end_ms] - n label``: the window report line.  A Column as
+    ``label`` gives each row its own, e.g. ``concat('events of type ', event_type)``."""
     n = F.col(n) if isinstance(n, str) else n
     return F.format_string("[%d - %d] - %d %s", epoch_ms(start), epoch_ms(end),
-                           n, F.lit(label))
+                           n, F.lit(label) if isinstance(label, str) else label)
+
+
+def key_report(key: str | Column, text: str | Column, prefix: str = "User ") -> Column:
+    """``User <key> - <text>``: the report line of per-key state."""
+    key = F.col(key) if isinstance(key, str) else key
+    text = F.col(text) if isinstance(text, str) else text
+    return F.concat(F.lit(prefix), F.coalesce(key.cast("string"), F.lit("null")), F.lit(" - "), F.coalesce(text.cast("string"), F.lit("null")))
 
 
 def tag(rules: Sequence[tuple[Column, str]], default: str | None = None) -> Column:
@@ -74,8 +77,9 @@ def divisible(c: str | Column, d: int) -> Column:
 
 
 def join_ids(arr: Column, sep: str = ",") -> Column:
-    """Array of numbers -> 'a,b,c' (null array stays null)."""
-    return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)
+    """Array of values -> 'a,null,c': a null entry keeps its place (a null array
+    stays null)."""
+    return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep, "null")
 
 
 def player_identity(player_id: str | Column = "player_id", nickname: str | Column = "nickname") -> Column:

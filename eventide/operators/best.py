@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.exprs import epoch_us
-from eventide.operators.scan import running_max, time_bucket
+from eventide.operators.scan import DEFAULT_WIDTH, running_max
 from eventide.operators.windows import END, START
 
 
@@ -37,15 +37,14 @@ def best_window(windows: DataFrame, value: str = "net", ties: str = "first") ->
 
 
 def best_so_far(windows: DataFrame, value: str = "net", ties: str = "first",
-                bucket_width: str = "1 day") -> DataFrame:
+                width: int = DEFAULT_WIDTH) -> DataFrame:
     """For every window, in start order, the best window among those up to it.
 
     Output: window_start (the window just closed), best_start, best_end,
-    best_<value>.  The running arg-max is a bucketed scan over the window table
-    (buckets of ``bucket_width`` of window starts), so it stays parallel when
-    the window table is long.
+    best_<value>.  The running arg-max is a scan over the window table, split into
+    buckets of ``width`` windows, so it stays parallel when the table is long.
     """
     scanned = running_max(windows, START, "_best", _rank_key(value, ties),
-                          bucket=time_bucket(START, bucket_width))
+                          width=width)
     return scanned.select(START, F.col("_best.s").alias("best_start"), F.col("_best.e").alias("best_end"),
                           F.col("_best.v").alias(f"best_{value}"))

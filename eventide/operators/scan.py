@@ -6,165 +6,209 @@ key into one task, and a global order (no key) puts the whole table into one
 task.  With one key holding a third of all rows that task would hold a third
 of the data.
 
-Every scan here splits the order into buckets (``floor(seq / width)`` or a
-time bucket), so the unit of work is ``(key, bucket)``, whose size is bounded
-by the bucket width however hot the key is:
-
-1. local pass   window over ``partition by key, bucket order by seq``
-2. bucket table one row per ``(key, bucket)`` with the bucket's summary:
-                sums straight from the input rows (partial aggregation, a
-                small shuffle); max, last non-null and last n values from
-                the local pass (already partitioned by ``(key, bucket)``, so
-                both branches fork above one shared exchange)
-3. carry        a window over the bucket table, per key in bucket order:
-                the combined summary of all *earlier* buckets
-4. join back    on ``(key, bucket)``; the big side is already hash-partitioned
-                on exactly these columns by step 1, so only the small carry
-                table moves (or is broadcast, when AQE measures it small)
-
-One full shuffle, like the direct window, but no task ever sees more than one
-bucket of one key.  The bucket table has one row per non-empty
-``(key, bucket)``; for a global order it is ``rows / width`` rows, the only
-thing ordered in a single partition.
-
-Keys must be non-null (a keyed stream in the reference cannot have a null
-key either); the order column must be unique within a key.
+Here only keys with more rows than ``width`` are split, at order values taken
+from a sample, so a task's group has about ``width`` rows however hot the key
+is, however the order values are spread, and with one outlier or a burst:
+
+1. bounds       a statistics job over (keys, order): one row in
+                ``width / SAMPLES`` (by hash), ranked within its key; every
+                ``SAMPLES``-th is a bound.  At most rows / width bounds in all
+                reach the driver and are broadcast with their keys
+2. local pass   window over ``partition by key, bucket order by seq``: the one
+                exchange of the raw rows.  Keys that are not split have one
+                bucket, and their result is final
+3. carry        of split keys only: bucket summaries straight from the input
+                by partial aggregation, combined over the earlier buckets; at
+                most rows / width rows more than split keys, so it is broadcast
+
+The last-n scan needs no carry: the last rows of a bucket are dealt to the next
+one as well (a "halo", dropped afterwards).
+
+The result does not depend on ``width``.  A null key is a group like any other.
+A null order value fails the query: such a row has no place.  Null values are
+taken as SQL window functions take them.  The order must be unique within a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.functions.exprs import duration_us
+from eventide.functions.exprs import epoch_us
 
-# Rows per sequence bucket.  A (key, bucket) group never exceeds this, so a
-# task's window buffer is bounded; the bucket table has rows / width entries.
-DEFAULT_SEQ_BUCKET = 1 << 20
-BUCKET = "_bkt"
+# Rows per (key, bucket) group; bounds and carries have rows / width entries.
+DEFAULT_WIDTH = 1 << 20
+# Sampled rows per bucket: a bucket's size is width give or take a fifth.
+SAMPLES = 32
+BUCKET, ORDER, SPLIT, HALO = "_bkt", "_ord", "_split", "_halo"
 
 
-def seq_bucket(order: str, width: int = DEFAULT_SEQ_BUCKET) -> Column:
-    """Bucket of an integer order column: exact floor division (no doubles)."""
-    return _floor_div(f"CAST(`{order}` AS BIGINT)", int(width))
+class Split(NamedTuple):
+    """Rows with ORDER (a non-null number), BUCKET and, if any key is split, SPLIT
+    (its key is) and HALO (the row also belongs to the next bucket's context)."""
 
+    df: DataFrame
+    any: bool
 
-def time_bucket(ts: str, width: str | int) -> Column:
-    """Bucket of a timestamp column, width as '1 hour' or microseconds."""
-    return _floor_div(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))", duration_us(width))
 
+def order_number(df: DataFrame, order: str) -> Column:
+    """The order column as a number; a null fails loudly."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        number = epoch_us(order)
+    elif isinstance(kind, (T.IntegralType, T.DecimalType)):
+        number = F.col(order).cast("long")
+    else:
+        raise TypeError(f"order column {order} must be an integer, date or timestamp, not {kind.simpleString()}")
+    return F.coalesce(number, F.raise_error(F.lit(f"null in order column {order}")).cast("long"))
 
-def _floor_div(x: str, width: int) -> Column:
-    return F.expr(f"(({x}) - pmod({x}, {width}L)) div {width}L")
 
-
-def _win(keys: Sequence[str]) -> Window:
+def _key_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
 
-def _bucketed(df: DataFrame, order: str, bucket: Column | None, keys: Sequence[str] = ()) -> DataFrame:
-    """Add the bucket column and drop rows the inner join back would drop
-    anyway (null key or bucket).  Stating the filter once, before the plan
-    forks, keeps both branches identical, so the raw-row shuffle is reused."""
-    d = df.withColumn(BUCKET, seq_bucket(order) if bucket is None else bucket)
-    return d.where(not_null(*keys, BUCKET))
-
-
-def not_null(*cols: str) -> Column:
+def same_keys(a: str, b: str, keys: Sequence[str]) -> Column:
     cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
+    for k in keys:
+        cond = cond & F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`"))
     return cond
 
 
+def bounds(df: DataFrame, keys: Sequence[str], width: int, halo: int = 0) -> list:
+    """(keys..., bounds, halos) of the keys to split: a bucket ends at a bound, and
+    the rows from its halo value on are at least ``halo`` rows of that bucket."""
+    share = max(1, width // SAMPLES)
+    per = max(1, width // share, halo)
+    sample = df.select(*keys, ORDER).where(F.pmod(F.xxhash64(ORDER), F.lit(share)) == 0)
+    w = _key_window(keys).orderBy(ORDER)
+    ranked = sample.select(*keys, ORDER, F.row_number().over(w).alias("_r"),
+                           F.lag(ORDER, max(halo - 1, 0)).over(w).alias("_h"))
+    found = ranked.where(F.col("_r") % per == 0).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(ORDER, "_h"))).alias("_b"))
+    return found.select(*keys, F.col(f"_b.{ORDER}").alias("_bounds"), F.col("_b._h").alias("_halos")).collect()
+
+
+def split(df: DataFrame, order: str, keys: Sequence[str] = (), width: int = DEFAULT_WIDTH, halo: int = 0) -> Split:
+    """Deal each key's rows to buckets of about ``width`` rows in ``order``."""
+    if width < 1:
+        raise ValueError("width must be >= 1")
+    keys = list(keys)
+    d = df.withColumn(ORDER, order_number(df, order))
+    found = bounds(d, keys, width, halo)
+    if not found:
+        return Split(d.withColumn(BUCKET, F.lit(0)), False)
+    longest = max(len(r["_bounds"]) for r in found)
+    if keys:
+        schema = T.StructType([*[T.StructField(k, df.schema[k].dataType) for k in keys],
+                               *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("_bounds", "_halos")]])
+        hot = df.sparkSession.createDataFrame([tuple(r) for r in found], schema)
+        d = d.alias("d").join(F.broadcast(hot).alias("h"), same_keys("d", "h", keys), "left").select(
+            *[F.col(f"d.`{c}`") for c in d.columns], "h._bounds", "h._halos")
+    else:
+        literal = [F.array(*[F.lit(x).cast("long") for x in found[0][c]]) for c in ("_bounds", "_halos")]
+        d = d.withColumns({"_bounds": literal[0], "_halos": literal[1]})
+    # binary search: number of bounds below the row's order
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda n, s: F.when(
+        (n + s <= F.size("_bounds")) & (F.get("_bounds", n + s - 1) < F.col(ORDER)), n + s).otherwise(n))
+    d = d.withColumns({SPLIT: F.col("_bounds").isNotNull(), BUCKET: F.when(F.col("_bounds").isNotNull(), at).otherwise(0)})
+    return Split(d.withColumn(HALO, F.coalesce(F.col(ORDER) >= F.get("_halos", F.col(BUCKET)), F.lit(False))).drop("_bounds", "_halos"), True)
+
+
+def _so_far(keys: Sequence[str]) -> Window:
+    return Window.partitionBy(*keys, BUCKET).orderBy(ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _earlier(keys: Sequence[str]) -> Window:
+    return _key_window(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_carry(local: DataFrame, totals: DataFrame, keys: Sequence[str], carry: Mapping[str, Column]) -> DataFrame:
+    """Join the carries of split keys to the local pass.  Their number is bounded by
+    the bounds, which the driver has seen, hence the broadcast."""
+    c = totals.select(*keys, BUCKET, *[e.alias(n) for n, e in carry.items()])
+    cond = same_keys("l", "c", keys) & (F.col(f"l.{BUCKET}") == F.col(f"c.{BUCKET}"))
+    return local.alias("l").join(F.broadcast(c).alias("c"), cond, "left").select(
+        *[F.col(f"l.`{x}`") for x in local.columns], *[F.col(f"c.{n}") for n in carry])
+
+
 def running_sums(df: DataFrame, order: str, sums: Mapping[str, Column],
-                 keys: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
+                 keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
     """Add one column per entry of ``sums``: the sum of the expression over the
-    rows of the same key with ``order`` <= this row's (running sum/count)."""
-    keys = list(keys)
-    d = _bucketed(df, order, bucket, keys)
-    local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = d.select("*", *[F.sum(e).over(local_w).alias(f"_l_{n}") for n, e in sums.items()])
-    totals = d.groupBy(*keys, BUCKET).agg(*[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()])
-    carry_w = _win(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, BUCKET, *[
-        F.coalesce(F.sum(f"_t_{n}").over(carry_w), F.lit(0)).alias(f"_c_{n}") for n in sums])
-    out = local.join(carry, [*keys, BUCKET], "inner")
-    return out.select(*df.columns, *[(F.col(f"_c_{n}") + F.col(f"_l_{n}")).alias(n) for n in sums])
+    rows of the same key with ``order`` <= this row's (running sum/count); null
+    while all its values are null."""
+    return running(df, order, {n: (F.sum, F.sum, _plus, e) for n, e in sums.items()}, keys, width)
 
 
 def running_max(df: DataFrame, order: str, name: str, value: Column,
-                keys: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
+                keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
     """Add ``name``: max of ``value`` over rows of the key so far.  Works for
     any orderable type, structs included (``max(struct(a, b))`` is an arg-max)."""
+    return running(df, order, {name: (F.max, F.max, F.greatest, value)}, keys, width)
+
+
+def running_min(df: DataFrame, order: str, name: str, value: Column,
+                keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Add ``name``: min of ``value`` over rows of the key so far."""
+    return running(df, order, {name: (F.min, F.min, F.least, value)}, keys, width)
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
+def running(df: DataFrame, order: str, columns: Mapping[str, tuple], keys: Sequence[str] = (),
+            width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Rolling reduce with any associative aggregate: one column per entry of
+    ``columns``, given as (aggregate, aggregate of its results, function of two
+    results, value), e.g. ``(F.sum, F.sum, plus, value)``."""
     keys = list(keys)
-    d = _bucketed(df, order, bucket, keys).withColumn("_v", value)
-    local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = d.withColumn("_l", F.max("_v").over(local_w))
-    # bucket maxima from the local pass: its input (typically a derived table
-    # such as window results) is computed once below one shared exchange
-    totals = local.groupBy(*keys, BUCKET).agg(F.max("_l").alias("_t"))
-    carry_w = _win(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, BUCKET, F.max("_t").over(carry_w).alias("_c"))
-    out = local.join(carry, [*keys, BUCKET], "inner")
-    return out.select(*df.columns, F.greatest("_c", "_l").alias(name))
+    s = split(df, order, keys, width)
+    local = s.df.select("*", *[agg(e).over(_so_far(keys)).alias(f"_l_{n}") for n, (agg, _, _, e) in columns.items()])
+    if not s.any:
+        return local.select(*df.columns, *[F.col(f"_l_{n}").alias(n) for n in columns])
+    totals = s.df.where(SPLIT).groupBy(*keys, BUCKET).agg(*[agg(e).alias(f"_t_{n}") for n, (agg, _, _, e) in columns.items()])
+    out = _with_carry(local, totals, keys, {f"_c_{n}": merge(f"_t_{n}").over(_earlier(keys)) for n, (_, merge, _, _) in columns.items()})
+    return out.select(*df.columns, *[join(F.col(f"_c_{n}"), F.col(f"_l_{n}")).alias(n) for n, (_, _, join, _) in columns.items()])
 
 
 def last_n(df: DataFrame, order: str, n: int, value: Column, name: str,
-           keys: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
+           keys: Sequence[str] = (), width: int = DEFAULT_WIDTH, nullable: bool = True) -> DataFrame:
     """Add ``name``: array of the last ``n`` values of ``value`` (oldest first)
     among rows of the key with ``order`` <= this row's.  Null values take
     their place in the list: values travel wrapped in a struct, which
-    ``collect_list`` keeps even when the value is null (the order column
-    itself, the common case of "ids of the last n events", needs no wrapping).
-
-    A bucket's summary is its own last n values; the carry into a bucket is
-    the last n values over the (at most n) previous non-empty buckets, each of
-    which holds at least one value, so nothing earlier can be needed.
-    """
+    ``collect_list`` keeps (``nullable=False`` saves the wrapping)."""
     if n < 1:
         raise ValueError("n must be >= 1")
     keys = list(keys)
-    d = _bucketed(df, order, bucket, keys)
-    local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(-(n - 1), Window.currentRow)
-    # the order column itself is never null here (rows without an order have
-    # no bucket and are dropped), so it skips the struct wrapping
-    wrap = str(value) != str(F.col(order))
-    local = d.withColumn("_l", F.collect_list(F.struct(value.alias("v")) if wrap else value).over(local_w))
-    tails = local.groupBy(*keys, BUCKET).agg(F.max_by("_l", F.col(order)).alias("_t"))
-    carry_w = _win(keys).orderBy(BUCKET).rowsBetween(-n, -1)
-    carry = tails.select(*keys, BUCKET, F.flatten(F.collect_list("_t").over(carry_w)).alias("_c"))
-    out = local.join(carry, [*keys, BUCKET], "inner")
-    empty = F.filter(F.col("_l"), lambda x: F.lit(False))
-    full = F.concat(F.coalesce(F.col("_c"), empty), F.col("_l"))
-    last = F.slice(full, F.greatest(F.size(full) - n + 1, F.lit(1)), n)
-    return out.select(*df.columns, (F.transform(last, lambda x: x["v"]) if wrap else last).alias(name))
+    s = split(df, order, keys, max(width, n), halo=n - 1)
+    d = s.df.withColumn("_context", F.lit(False))
+    if s.any and n > 1:
+        own = F.struct(F.col(BUCKET).alias("b"), F.lit(False).alias("x"))
+        after = F.struct((F.col(BUCKET) + 1).alias("b"), F.lit(True).alias("x"))
+        d = s.df.withColumn("_to", F.explode(F.when(F.col(HALO), F.array(own, after)).otherwise(F.array(own))))
+        d = d.withColumns({BUCKET: F.col("_to.b"), "_context": F.col("_to.x")}).drop("_to")
+    w = Window.partitionBy(*keys, BUCKET).orderBy(ORDER).rowsBetween(-(n - 1), Window.currentRow)
+    listed = F.collect_list(F.struct(value.alias("v")) if nullable else value).over(w)
+    out = d.withColumn("_list", listed).where(~F.col("_context"))
+    return out.select(*df.columns, (F.transform("_list", lambda x: x["v"]) if nullable else F.col("_list")).alias(name))
 
 
 def forward_fill(df: DataFrame, order: str, fills: Mapping[str, Column],
-                 keys: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
+                 keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
     """Add one column per entry of ``fills``: the latest non-null value of the
     expression among rows of the key so far (null until the first one).  All
     columns share one local pass and one carry table."""
     keys = list(keys)
-    d = _bucketed(df, order, bucket, keys)
-    for i, e in enumerate(fills.values()):
-        d = d.withColumn(f"_v{i}", e)
-    local_w = Window.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = d.select("*", *[F.last(f"_v{i}", ignorenulls=True).over(local_w).alias(f"_l{i}")
-                            for i in range(len(fills))])
-    # the bucket's latest non-null value is the running fill at its last row;
-    # taken from the local pass, so both branches fork above one exchange and
-    # an expensive input (e.g. a last-n scan) is computed once
-    totals = local.groupBy(*keys, BUCKET).agg(*[
-        F.max_by(f"_l{i}", F.col(order)).alias(f"_t{i}") for i in range(len(fills))])
-    carry_w = _win(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, BUCKET, *[F.last(f"_t{i}", ignorenulls=True).over(carry_w).alias(f"_c{i}")
-                                          for i in range(len(fills))])
-    out = local.join(carry, [*keys, BUCKET], "inner")
-    return out.select(*df.columns, *[F.coalesce(f"_l{i}", f"_c{i}").alias(n) for i, n in enumerate(fills)])
+    s = split(df, order, keys, width)
+    local = s.df.select("*", *[F.last(e, ignorenulls=True).over(_so_far(keys)).alias(f"_l_{n}") for n, e in fills.items()])
+    if not s.any:
+        return local.select(*df.columns, *[F.col(f"_l_{n}").alias(n) for n in fills])
+    totals = s.df.where(SPLIT).groupBy(*keys, BUCKET).agg(*[
+        F.max_by(e, F.when(e.isNotNull(), F.col(ORDER))).alias(f"_t_{n}") for n, e in fills.items()])
+    out = _with_carry(local, totals, keys, {f"_c_{n}": F.last(f"_t_{n}", ignorenulls=True).over(_earlier(keys)) for n in fills})
+    return out.select(*df.columns, *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in fills])

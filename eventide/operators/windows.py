@@ -26,8 +26,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.exprs import duration_us, epoch_us, window_report
-from eventide.operators.scan import BUCKET, not_null, time_bucket
+from eventide.functions.exprs import duration_us, window_report
+from eventide.operators.scan import BUCKET, DEFAULT_WIDTH, ORDER, SPLIT, same_keys, split
 
 START, END = "window_start", "window_end"
 
@@ -110,89 +110,73 @@ def net_change(df: DataFrame, time_col: str, size: str, plus: Column, minus: Col
     return out
 
 
-def with_report(df: DataFrame, count_col: str, label: str, name: str = "report") -> DataFrame:
-    """Append ``[start_ms - end_ms] - n label``."""
+def with_report(df: DataFrame, count_col: str, label: str | Column, name: str = "report") -> DataFrame:
+    """Append ``[start_ms - end_ms] - n label``; the label may differ by row."""
     return df.withColumn(name, window_report(START, END, count_col, label))
 
 
-SESSION_BUCKET_ROWS = 1 << 20
-_US_PER_DAY = 86_400_000_000
-
-
-def auto_bucket_width(df: DataFrame, time_col: str, target_rows: int = SESSION_BUCKET_ROWS) -> int:
-    """Time-bucket width (microseconds) holding ``target_rows`` rows on
-    average over the whole table, between 1 second and 1 day.
-
-    One small statistics job (row count and time span; the count comes from
-    parquet footers).  Since a bucket of the whole table holds that many rows
-    on average, so does any one key's share of it, the hottest key included.
-    """
-    st = df.agg(F.count(F.lit(1)).alias("n"), F.min(epoch_us(time_col)).alias("lo"),
-                F.max(epoch_us(time_col)).alias("hi")).first()
-    if not st or not st["n"] or st["lo"] is None:
-        return _US_PER_DAY
-    span = max(st["hi"] - st["lo"], 1)
-    width = span * target_rows // st["n"]
-    return int(min(max(width, 1_000_000), _US_PER_DAY))
-
-
 def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Column],
-             keys: Sequence[str] = (), bucket_width: str | int | None = None) -> DataFrame:
+             keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
     """Session windows: events no more than ``gap`` apart share a session.
 
     Output: keys..., window_start (first event), window_end (last event + gap),
-    one bigint per measure.
+    one bigint per measure.  A null key is a group; a null time fails the query.
 
-    Gaps and islands, bucketed by time so that no task holds more than one
-    time bucket of one key:
+    Gaps and islands.  Keys with more rows than ``width`` are split by time
+    (``scan.split``), so no task holds more than about ``width`` rows:
 
     * in each ``(key, bucket)``: ``lag`` gives the previous time; a row with a
       gap > ``gap`` to it is a definite session start; the running max of
       definite starts is the row's session start, if any so far;
-    * bucket table (min, max, max definite start): the bucket's first row
-      starts a session iff the previous bucket's max is more than ``gap``
-      before it; the carry is the latest start of all earlier buckets;
-    * rows before their bucket's first definite start take the head start
-      (own first row, or the carry); local sessions are aggregated inside the
-      ``(key, bucket)`` partitions first, then ``groupBy(key, session start)``
-      merges the pieces of sessions that span buckets.
-
-    ``bucket_width`` (duration or microseconds) defaults to
-    ``auto_bucket_width``: wide enough that the bucket table stays small,
-    narrow enough that a bucket fits a task at any scale.
+    * rows are aggregated to local sessions in the same partitions, which are
+      final for keys that are not split;
+    * bucket table of split keys (min, max, max definite start): the bucket's
+      first row starts a session iff the previous bucket's max is more than
+      ``gap`` before it; the carry is the latest start of all earlier buckets.
+      It has as many rows as the split has buckets, and is broadcast;
+    * local sessions before their bucket's first definite start take that head
+      start, and ``groupBy(key, session start)`` merges the pieces.
     """
     keys = list(keys)
-    if bucket_width is None:
-        bucket_width = auto_bucket_width(df, time_col)
     gap_us = duration_us(gap)
-    d = (df.withColumn("_t", epoch_us(time_col)).withColumn(BUCKET, time_bucket(time_col, bucket_width))
-           .where(not_null(*keys, "_t")))
-    lw = Window.partitionBy(*keys, BUCKET).orderBy("_t")
+    s = split(df, time_col, keys, width)
+    lw = Window.partitionBy(*keys, BUCKET).orderBy(ORDER)
     run = lw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = F.lag("_t").over(lw)
-    local = (d.withColumn("_def", F.when(prev.isNotNull() & (F.col("_t") - prev > gap_us), F.col("_t")))
-              .withColumn("_ls", F.max("_def").over(run)))
-    # local sessions: rows of one (key, bucket) with the same definite start
-    # (null: the bucket's head rows, whose session the carry decides).  Built
-    # in the partitions of the local pass (no exchange); the bucket table and
-    # the stitching below both read it, so they share one raw-row exchange,
-    # and the final group-by moves one partial row per local session.
+    prev = F.lag(ORDER).over(lw)
+    started = F.col(ORDER) - prev > gap_us
+    if not s.any:
+        started = prev.isNull() | started
+    local = (s.df.withColumn("_def", F.when(started, F.col(ORDER)))
+                 .withColumn("_ls", F.max("_def").over(run)))
+    # local sessions: rows of one (key, bucket) with the same definite start (null:
+    # the head rows of a split key's bucket), built without another exchange
     ls = local.groupBy(*keys, BUCKET, "_ls").agg(
-        F.min("_t").alias("_lmin"), F.max("_t").alias("_lmax"),
+        F.min(ORDER).alias("_lmin"), F.max(ORDER).alias("_lmax"),
         F.min(time_col).alias("_first"), F.max(time_col).alias("_last"),
-        *[F.sum(e).alias(f"_m_{n}") for n, e in measures.items()])
-    bt = ls.groupBy(*keys, BUCKET).agg(F.min("_lmin").alias("_bmin"), F.max("_lmax").alias("_bmax"),
-                                      F.max("_ls").alias("_bdef"))
+        *([F.max(SPLIT).alias(SPLIT)] if s.any else []),
+        *[F.sum(e).cast("long").alias(f"_m_{n}") for n, e in measures.items()])
+    if not s.any:
+        return _session_rows(ls, keys, F.col("_first"), F.col("_last"), {n: F.col(f"_m_{n}") for n in measures}, gap_us)
+    # the bucket table reads the same columns as the stitching (the sums by way of
+    # the filter), so that both share the exchange of the raw rows
+    used = F.count(F.struct("_first", "_last", *[f"_m_{n}" for n in measures]))
+    bt = ls.groupBy(*keys, BUCKET).agg(F.min("_lmin").alias("_bmin"), F.max("_lmax").alias("_bmax"), F.max("_ls").alias("_bdef"),
+                                       F.max(SPLIT).alias(SPLIT), used.alias("_n")).where(F.col(SPLIT) & (F.col("_n") >= 0))
     bw = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(BUCKET)
     prev_max = F.lag("_bmax").over(bw)
     bt = bt.withColumn("_bfirst", prev_max.isNull() | (F.col("_bmin") - prev_max > gap_us))
     bt = bt.withColumn("_beff", F.greatest("_bdef", F.when(F.col("_bfirst"), F.col("_bmin"))))
     bt = bt.withColumn("_carry", F.max("_beff").over(bw.rowsBetween(Window.unboundedPreceding, -1)))
     bt = bt.select(*keys, BUCKET, F.when(F.col("_bfirst"), F.col("_bmin")).otherwise(F.col("_carry")).alias("_head"))
-    tagged = ls.join(bt, [*keys, BUCKET], "inner").withColumn("_sid", F.coalesce("_ls", "_head"))
+    cond = same_keys("l", "b", keys) & (F.col(f"l.{BUCKET}") == F.col(f"b.{BUCKET}"))
+    tagged = ls.alias("l").join(F.broadcast(bt).alias("b"), cond, "left").select(
+        *[F.col(f"l.`{c}`") for c in ls.columns], F.coalesce("_ls", "_head", "_lmin").alias("_sid"))
     out = tagged.groupBy(*keys, "_sid").agg(
-        F.min("_first").alias(START), F.max("_last").alias("_last"),
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
         *[F.sum(f"_m_{n}").cast("long").alias(n) for n in measures])
-    return out.select(*keys, START,
-                      F.timestamp_add("MICROSECOND", F.lit(gap_us).cast("long"), F.col("_last")).alias(END),
-                      *measures)
+    return _session_rows(out, keys, F.col("_first"), F.col("_last"), {n: F.col(n) for n in measures}, gap_us)
+
+
+def _session_rows(d: DataFrame, keys: Sequence[str], first: Column, last: Column, measures: Mapping[str, Column], gap_us: int) -> DataFrame:
+    return d.select(*keys, first.alias(START), F.timestamp_add("MICROSECOND", F.lit(gap_us).cast("long"), last).alias(END),
+                    *[e.alias(n) for n, e in measures.items()])

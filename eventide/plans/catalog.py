@@ -15,7 +15,8 @@ three minutes at sf0.01.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from eventide.functions.exprs import divisible
 from eventide.operators import best, counting, rolling, transform, windows
 from eventide.schema import EVENTS_TABLE_TYPES, Kinds
-from eventide.sources.events import events_table, read_table
+from eventide.plans.tables import events_table
+from eventide.sources.events import read_table
 
 K = Kinds.events_table()
 
@@ -39,14 +41,18 @@ WIN_TRIGGER_SIZE, WIN_TRIGGER_N, WIN_PURGE_N = "6 hours", 3, 2
 LAST_N = 5
 HIGH_QUANTITY = 3
 HISTORY_PAGE = 1000
+# Rows per bucket of a split key (see operators.scan).  Far below the library's
+# default, so that keys are split at the driver's sizes too and every green row
+# covers the carry: the whole order, the five types, the users (up to 100 events).
+ORDER_WIDTH, TYPE_WIDTH, USER_WIDTH, USER_TYPE_WIDTH, WINDOW_WIDTH = 2000, 500, 32, 8, 16
 LABEL_REGISTERED = "players registered"
 
 
 def _ev(spark: SparkSession, sf: str) -> DataFrame:
     # Event times are naive UTC (as the oracle reads them); epoch values and
     # report strings derive from them through the session time zone.
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if (zone := spark.conf.get("spark.sql.session.timeZone")) not in ("UTC", "Etc/UTC", "GMT", "+00:00"):
+        raise ValueError(f"the registered queries read naive UTC times: set spark.sql.session.timeZone to UTC, not {zone}")
     return events_table(spark, sf)
 
 
@@ -81,11 +87,12 @@ def _session_measures():
 
 
 def ev_session_by_user(spark, sf):
-    return windows.sessions(_ev(spark, sf), "event_time", USER_GAP, _session_measures(), keys=["user_id"])
+    return windows.sessions(_ev(spark, sf), "event_time", USER_GAP, _session_measures(), keys=["user_id"],
+                            width=USER_WIDTH)
 
 
 def ev_session_global(spark, sf):
-    return windows.sessions(_ev(spark, sf), "event_time", GLOBAL_GAP, _session_measures())
+    return windows.sessions(_ev(spark, sf), "event_time", GLOBAL_GAP, _session_measures(), width=ORDER_WIDTH)
 
 
 def ev_net_tumbling(spark, sf):
@@ -110,64 +117,67 @@ def ev_best_window_sliding(spark, sf):
 
 
 def ev_best_so_far(spark, sf):
-    return best.best_so_far(ev_net_tumbling(spark, sf), "net", ties="first")
+    return best.best_so_far(ev_net_tumbling(spark, sf), "net", ties="first", width=WINDOW_WIDTH)
 
 
 def ev_count_trigger(spark, sf):
     return counting.count_trigger(_ev(spark, sf), "seq", COUNT_N,
-                                  {"n_match": windows.count_measure(K.is_registered)})
+                                  {"n_match": windows.count_measure(K.is_registered)}, width=ORDER_WIDTH)
 
 
 def ev_count_purging(spark, sf):
     return counting.count_trigger(_ev(spark, sf), "seq", PURGE_N,
-                                  {"n_match": windows.count_measure(K.is_registered)}, purge=True)
+                                  {"n_match": windows.count_measure(K.is_registered)}, purge=True,
+                                  width=ORDER_WIDTH)
 
 
 def ev_window_count_trigger(spark, sf):
     return counting.window_count_trigger(_ev(spark, sf), "event_time", WIN_TRIGGER_SIZE, "seq",
-                                         WIN_TRIGGER_N, {"n_match": windows.count_measure(K.is_add)})
+                                         WIN_TRIGGER_N, {"n_match": windows.count_measure(K.is_add)}, width=WINDOW_WIDTH)
 
 
 def ev_window_count_purging(spark, sf):
     return counting.window_count_trigger(_ev(spark, sf), "event_time", WIN_TRIGGER_SIZE, "seq",
                                          WIN_PURGE_N, {"n_match": windows.count_measure(K.is_add)},
-                                         purge=True)
+                                         purge=True, width=WINDOW_WIDTH)
 
 
 def run_sum_by_key(spark, sf):
     d = _ev(spark, sf).select("seq", divisible("seq", 2).alias("is_even"))
-    return rolling.running_sum_by_key(d, "seq", ["is_even"], F.col("seq"), "running_sum")
+    return rolling.running_sum_by_key(d, "seq", ["is_even"], F.col("seq"), "running_sum", width=ORDER_WIDTH)
 
 
 def st_count_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id")
-    return rolling.running_count_by_key(d, "seq", ["user_id"])
+    return rolling.running_count_by_key(d, "seq", ["user_id"], width=USER_WIDTH)
 
 
 def st_type_counts_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
-    return rolling.type_counts_by_key(d, "seq", ["user_id"], "event_type", EVENTS_TABLE_TYPES)
+    return rolling.type_counts_by_key(d, "seq", ["user_id"], "event_type", EVENTS_TABLE_TYPES, width=USER_WIDTH)
 
 
 def st_history_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id")
-    return rolling.history_pages(d, "seq", ["user_id"], "seq", page_size=HISTORY_PAGE)
+    return rolling.history_pages(d, "seq", ["user_id"], "seq", page_size=HISTORY_PAGE, width=USER_WIDTH)
 
 
 def st_last5_user_type(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
-    return rolling.last_n_by_key(d, "seq", ["user_id", "event_type"], LAST_N, "seq", "last5")
+    return rolling.last_n_by_key(d, "seq", ["user_id", "event_type"], LAST_N, "seq", "last5",
+                                 width=USER_TYPE_WIDTH)
 
 
 def st_last5_type(spark, sf):
     d = _ev(spark, sf).select("seq", "event_type")
-    return rolling.last_n_by_key(d, "seq", ["event_type"], LAST_N, "seq", "last5")
+    return rolling.last_n_by_key(d, "seq", ["event_type"], LAST_N, "seq", "last5", width=TYPE_WIDTH)
 
 
 def st_last5_pair_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
     out = rolling.last_n_per_type(d, "seq", ["user_id"], "event_type",
-                                  {K.add: "last5_add", K.remove: "last5_remove"}, LAST_N, "seq")
+                                  {K.add: "last5_add", K.remove: "last5_remove"}, LAST_N, "seq",
+                                  width=USER_TYPE_WIDTH)
     return out.select("seq", "user_id", "last5_add", "last5_remove")
 
 
@@ -206,13 +216,22 @@ def seq_fanout(spark, sf):
                              "value", keep_cols=["o_orderkey"])
 
 
-def _double_batch(b: pa.RecordBatch) -> pa.RecordBatch:
+@contextlib.contextmanager
+def _factor_table() -> Iterator[dict[str, int]]:
+    """What a partition opens before its first batch and closes after its last."""
+    opened = {"factor": 2}
+    yield opened
+    opened.clear()
+
+
+def _double_batch(b: pa.RecordBatch, opened: dict[str, int]) -> pa.RecordBatch:
     keys = b.column("o_orderkey")
-    return pa.RecordBatch.from_arrays([keys, pc.multiply(keys, 2)], names=["o_orderkey", "doubled"])
+    return pa.RecordBatch.from_arrays([keys, pc.multiply(keys, opened["factor"])], names=["o_orderkey", "doubled"])
 
 
 def seq_partition_map(spark, sf):
-    return transform.partition_map(_orders(spark, sf), _double_batch, "o_orderkey long, doubled long")
+    """The map with set-up and tear-down: batches use what ``setup`` has opened."""
+    return transform.partition_map(_orders(spark, sf), _double_batch, "o_orderkey long, doubled long", setup=_factor_table)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

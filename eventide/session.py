@@ -8,9 +8,6 @@ unix-socket state servers for Python stateful processors.  The web UI stays off.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF: dict[str, str] = {
@@ -53,26 +50,3 @@ def get_session(master: str | None = None, app: str = "eventide",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and lineage cuts.
-
-    Read from ``spark.checkpoint.dir``, which the cluster points at shared
-    storage.  Only when it is unset (local tests) a scratch folder is created
-    and registered, so that nothing ever lands on a machine-local path behind
-    the cluster's back.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def checkpoint_path(spark: SparkSession, *parts: str) -> str:
-    """A sub-folder of the shared checkpoint root."""
-    return os.path.join(checkpoint_root(spark), *parts)

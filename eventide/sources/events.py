@@ -14,19 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Mapping of the driver's ``events`` table onto the canonical names.
-# quantity: floor the double first (cast truncates the same for the
-# non-negative values in the table, but floor states the intent).
-EVENTS_TABLE_MAPPING: dict[str, str] = {
-    "seq": "event_id",
-    "event_time": "ts",
-    "event_type": "event_type",
-    "user_id": "user_id",
-    "quantity": "CAST(FLOOR(value) % 10 AS INT)",
-    "sku": "props",
-}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -35,7 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def normalize(df: DataFrame, mapping: Mapping[str, str | Column] | None = None,
+def normalize(df: DataFrame, mapping: Mapping[str, str | Column],
               to_instant: bool = False) -> DataFrame:
     """Project ``df`` onto canonical column names.
 
@@ -43,7 +30,6 @@ def normalize(df: DataFrame, mapping: Mapping[str, str | Column] | None = None,
     a Column).  ``to_instant`` casts ``event_time`` to TIMESTAMP (an instant),
     which watermarks require; batch queries may keep TIMESTAMP_NTZ.
     """
-    mapping = EVENTS_TABLE_MAPPING if mapping is None else mapping
     cols = []
     for out, src in mapping.items():
         c = src if isinstance(src, Column) else F.expr(src)
@@ -54,7 +40,7 @@ def normalize(df: DataFrame, mapping: Mapping[str, str | Column] | None = None,
 
 
 def read_events(spark: SparkSession, path: str,
-                mapping: Mapping[str, str | Column] | None = None, *,
+                mapping: Mapping[str, str | Column], *,
                 streaming: bool = False, schema: T.StructType | None = None,
                 max_files_per_trigger: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
@@ -74,11 +60,6 @@ def read_events(spark: SparkSession, path: str,
     return normalize(reader.load(path), mapping, to_instant=True)
 
 
-def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table in canonical form (batch)."""
-    return normalize(read_table(spark, sf_dir, "events"))
-
-
 def server_events(df: DataFrame, strict: bool = True) -> DataFrame:
     """Game-server events: adds the derived ``identity`` and, with ``strict``,
     fails rows whose ``game_type`` is not one of the fixed game types (the enum

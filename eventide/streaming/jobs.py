@@ -4,8 +4,9 @@ Each function takes a streaming DataFrame of canonical events (from
 ``sources.events.read_events(..., streaming=True)``), an output folder and a
 checkpoint folder on shared storage, and returns the started
 ``StreamingQuery``.  Options default to the reference's settings (window
-sizes, n, thresholds) and ``available_now=True`` turns a job into a replay of
-what is there.
+sizes, n, thresholds).  ``available_now=True`` processes what is there and stops;
+windows that no later event has closed stay open for the next start
+(``best_window_replay`` reports a finished set of events to its end).
 
 ============================  =============================================
 reference program             job
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventide.operators import transform
+from eventide.operators import best, transform, windows
 from eventide.schema import Kinds
 from eventide.streaming import carry, sinks, stateful
 from eventide.streaming import windows as swin
@@ -51,7 +52,7 @@ def rolling_sum_job(events: DataFrame, out: str, checkpoint: str, available_now:
     return _start(res, out, checkpoint, available_now)
 
 
-def _double(b: pa.RecordBatch) -> pa.RecordBatch:
+def _double(b: pa.RecordBatch, *_opened) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([b.column("seq"), pc.multiply(b.column("seq"), 2)], names=["seq", "doubled"])
 
 
@@ -74,25 +75,35 @@ def best_window_job(events: DataFrame, out: str, checkpoint: str, kinds: Kinds |
     return _start(net, out, os.path.join(checkpoint, "query"), available_now, foreach_batch=fn)
 
 
+def best_window_replay(events: DataFrame, out: str, kinds: Kinds | None = None, size: str = "2 seconds",
+                       ties: str = "first") -> None:
+    """The whole report of a finished set of events (a batch DataFrame): what
+    ``best_window_job`` writes, the last windows included, under ``out/best``."""
+    k = kinds or Kinds.domain()
+    net = windows.net_change(events, "event_time", size, k.is_online, k.is_offline)
+    best.best_so_far(net, "net", ties=ties).write.mode("overwrite").parquet(os.path.join(out, "best"))
+
+
 def processing_time_job(events: DataFrame, out: str, checkpoint: str, kinds: Kinds | None = None,
                         size: str = "3 seconds", available_now: bool = False) -> StreamingQuery:
     """Add-to-cart events per processing-time window (runs differ by design).
-    Windows are updated in place (complete mode), so ``out`` names an
-    in-memory table rather than a folder."""
+    Each micro-batch writes the windows that it changed to ``out/batch_id=<n>``;
+    ``streaming.windows.latest_windows`` reads the last state of each.  Closed
+    windows leave the state."""
     k = kinds or Kinds.domain()
     res = swin.processing_time_windows(events, size, {"n_match": F.when(k.is_add, 1).otherwise(0)})
-    return sinks.start(res, checkpoint, fmt="memory", query_name=out, output_mode="complete",
-                       available_now=available_now)
+    return _start(res, out, checkpoint, available_now, mode="update", foreach_batch=sinks.batch_writer(out))
 
 
 def count_trigger_job(events: DataFrame, out: str, checkpoint: str, kinds: Kinds | None = None,
                       size: str = "5 seconds", n: int = 3, purge: bool = False,
                       available_now: bool = False) -> StreamingQuery:
     """Every n-th event of each processing-time window: add events so far in
-    the window (or in the last n events with ``purge``)."""
+    the window (or in the last n events with ``purge``).  The rows of a
+    micro-batch are counted by as many tasks as they need."""
     k = kinds or Kinds.domain()
-    res = swin.processing_time_count_trigger(events, size, "seq", n, k.is_add, purge=purge)
-    return _start(res, out, checkpoint, available_now)
+    fn = carry.window_count_trigger(out, os.path.join(checkpoint, "carry"), "seq", n, k.is_add, purge=purge)
+    return _start(swin.processing_time_stamped(events, size), out, os.path.join(checkpoint, "query"), available_now, foreach_batch=fn)
 
 
 def last5_pair_job(events: DataFrame, out: str, checkpoint: str, kinds: Kinds | None = None,
@@ -118,7 +129,5 @@ def high_quantity_job(events: DataFrame, out: str, checkpoint: str, kinds: Kinds
 
 def fizzbuzz_job(events: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Tags by divisibility of ``seq``, written to one folder per route."""
-    three, five = (F.col("seq") % 3) == 0, (F.col("seq") % 5) == 0
-    rts = {"fizz_and_buzz": (three | five, transform.tag(transform.fizzbuzz_rules("seq"), default="")),
-           "fizzbuzz": (three & five, F.lit("fizzbuzz"))}
-    return _start(events, out, checkpoint, available_now, foreach_batch=sinks.route_writer(rts, out))
+    return _start(events, out, checkpoint, available_now,
+                  foreach_batch=sinks.route_writer(transform.fizzbuzz_route_map("seq"), out))

@@ -12,7 +12,6 @@ window stays open and never shows.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,25 +28,6 @@ def replay_stream(spark: SparkSession, folder: str, schema: T.StructType,
             .option("maxFilesPerTrigger", str(files_per_batch)).load(folder))
 
 
-def write_batch_file(df: DataFrame, folder: str, index: int) -> str:
-    """Write ``df`` as one parquet file ``folder/batch-<index>.parquet``.
-
-    Meant for replay fixtures on a local file system (it renames files with
-    ``os``), not for cluster storage: the rows go through Spark's own writer into a
-    scratch folder, then the single part file is moved next to the others,
-    with a modification time that keeps the files in index order.
-    """
-    os.makedirs(folder, exist_ok=True)
-    tmp = os.path.join(folder + ".staging", f"b{index:06d}")
-    df.coalesce(1).write.mode("overwrite").parquet(tmp)
-    part = next(f for f in os.listdir(tmp) if f.startswith("part-") and f.endswith(".parquet"))
-    dest = os.path.join(folder, f"batch-{index:06d}.parquet")
-    os.replace(os.path.join(tmp, part), dest)
-    stamp = 1_000_000_000 + index
-    os.utime(dest, (stamp, stamp))
-    return dest
-
-
 def sentinel_row(df: DataFrame, time_col: str, at: dt.datetime = SENTINEL_TIME, **values) -> DataFrame:
     """One row shaped like ``df`` with ``time_col`` far in the future and
     other columns null unless given."""

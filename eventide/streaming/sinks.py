@@ -64,6 +64,14 @@ def route_writer(routes_: Mapping[str, tuple[Column, Column]], base: str,
     return run
 
 
+def batch_writer(base: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: every micro-batch's rows under
+    ``base/batch_id=<n>/`` (idempotent on replay)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+    return run
+
+
 def console(stream: DataFrame, output_mode: str = "append", truncate: bool = False) -> StreamingQuery:
     """Print every micro-batch (the print sink)."""
     return (stream.writeStream.format("console").outputMode(output_mode)

@@ -53,8 +53,16 @@ def _rows(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     return pdf.sort_values(order, kind="stable").reset_index(drop=True)
 
 
-def _ids_text(values: Sequence) -> str:
-    return ",".join(str(int(v)) for v in values)
+def _plain(column: pd.Series) -> list:
+    """The values as state takes them: Python numbers and strings, tuples for
+    structs, None for nulls (which keep their place)."""
+    return [None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else tuple(v.values()) if isinstance(v, dict)
+            else v.item() if isinstance(v, np.generic) else v for v in column]
+
+
+def _text(values: Sequence) -> str:
+    """Comma-joined; a struct's fields are joined with colons."""
+    return ",".join("null" if v is None else ":".join(map(str, v)) if isinstance(v, tuple) else str(v) for v in values)
 
 
 class RunningSum(_Keyed):
@@ -106,21 +114,24 @@ class TypeCounts(_Keyed):
 
 
 class LastN(_Keyed):
-    """List state trimmed to the last n values (oldest removed first)."""
+    """List state trimmed to the last n values (oldest removed first), of any type
+    (``value_type``, e.g. a struct of the event)."""
 
-    def __init__(self, keys: Sequence[str], order: str, value: str, n: int, out: str = "last_n"):
+    def __init__(self, keys: Sequence[str], order: str, value: str, n: int, out: str = "last_n",
+                 value_type: str = "bigint"):
         self.keys, self.order, self.value, self.n, self.out = list(keys), order, value, n, out
+        self.value_type = value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getListState("tail", "v bigint", self.ttl_ms)
+        self.tail = handle.getListState("tail", f"v {self.value_type}", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
         if pdf.empty:
             return
         prev = [t[0] for t in self.tail.get()] if self.tail.exists() else []
-        values = prev + [int(v) for v in pdf[self.value]]
-        lists = [_ids_text(values[max(0, i + 1 - self.n):i + 1]) for i in range(len(prev), len(values))]
+        values = prev + _plain(pdf[self.value])
+        lists = [_text(values[max(0, i + 1 - self.n):i + 1]) for i in range(len(prev), len(values))]
         self.tail.put([(v,) for v in values[-self.n:]])
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order], self.out: lists})
 
@@ -130,12 +141,13 @@ class LastNPerType(_Keyed):
     listed types side by side (null while a type is unseen)."""
 
     def __init__(self, keys: Sequence[str], order: str, type_col: str, value: str,
-                 types: Mapping[str, str], n: int):
+                 types: Mapping[str, str], n: int, value_type: str = "bigint"):
         self.keys, self.order, self.type_col, self.value = list(keys), order, type_col, value
+        self.value_type = value_type
         self.types, self.n = dict(types), n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lists = handle.getMapState("lists", "type string", "ids array<bigint>", self.ttl_ms)
+        self.lists = handle.getMapState("lists", "type string", f"ids array<{self.value_type}>", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -143,16 +155,17 @@ class LastNPerType(_Keyed):
             return
         cur = {t: (list(self.lists.getValue((t,))[0]) if self.lists.containsKey((t,)) else None)
                for t in self.types}
-        outs = {c: [] for c in self.types.values()}
-        changed = set()
-        for t, v in zip(pdf[self.type_col], pdf[self.value]):
-            if t in cur:
-                cur[t] = ((cur[t] or []) + [int(v)])[-self.n:]
-                changed.add(t)
-            for tt, c in self.types.items():
-                outs[c].append(None if cur[tt] is None else _ids_text(cur[tt]))
-        for t in changed:
-            self.lists.updateValue((t,), (cur[t],))
+        outs = {}
+        for t, c in self.types.items():
+            # a type's list changes at its own rows only: one text each, carried to the rows between
+            own = np.flatnonzero((pdf[self.type_col] == t).to_numpy())
+            before = cur[t] or []
+            values = before + _plain(pdf[self.value].iloc[own])
+            texts = [None if cur[t] is None else _text(before)]
+            texts += [_text(values[max(0, i + 1 - self.n):i + 1]) for i in range(len(before), len(values))]
+            outs[c] = np.array(texts, object)[np.searchsorted(own, np.arange(len(pdf)), side="right")]
+            if len(own):
+                self.lists.updateValue((t,), (values[-self.n:],))
         yield pd.DataFrame({**{k: pdf[k] for k in self.keys}, self.order: pdf[self.order], **outs})
 
 
@@ -195,14 +208,17 @@ class CountTrigger(_Keyed):
 
 class HistoryPages(_Keyed):
     """All events so far per key, as bounded pages: list state holds the open
-    page only; each row reports its position, page and the page so far."""
+    page only.  Each row reports its position and page; the page's text so far comes
+    with the last row of the page in the micro-batch (null before it)."""
 
-    def __init__(self, keys: Sequence[str], order: str, value: str, page_size: int = 1000):
+    def __init__(self, keys: Sequence[str], order: str, value: str, page_size: int = 1000,
+                 value_type: str = "bigint"):
         self.keys, self.order, self.value, self.page_size = list(keys), order, value, page_size
+        self.value_type = value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pos = handle.getValueState("pos", "pos bigint", self.ttl_ms)
-        self.page = handle.getListState("page", "v bigint", self.ttl_ms)
+        self.page = handle.getListState("page", f"v {self.value_type}", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
@@ -210,16 +226,16 @@ class HistoryPages(_Keyed):
             return
         pos = self.pos.get()[0] if self.pos.exists() else 0
         page = [t[0] for t in self.page.get()] if self.page.exists() else []
-        positions, pages, texts = [], [], []
-        for v in pdf[self.value]:
-            pos += 1
-            page.append(int(v))
-            positions.append(pos)
-            pages.append((pos - 1) // self.page_size)
-            texts.append(_ids_text(page))
+        positions = np.arange(pos + 1, pos + len(pdf) + 1)
+        pages = (positions - 1) // self.page_size
+        texts = np.full(len(pdf), None, object)
+        values, start = _plain(pdf[self.value]), 0
+        for end in (np.flatnonzero(np.diff(pages, append=-1)) + 1).tolist():
+            page += values[start:end]
+            texts[end - 1], start = _text(page), end
             if len(page) == self.page_size:
                 page = []
-        self.pos.update((pos,))
+        self.pos.update((int(positions[-1]),))
         if page:
             self.page.put([(v,) for v in page])
         else:

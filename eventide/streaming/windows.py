@@ -10,7 +10,7 @@ which is the default of the reference too: no allowed lateness, no side output.
 Sliding windows on streams use Spark's own ``window(t, size, slide)``: the
 two-level form of the batch side would chain two stateful aggregations.
 Sessions on a stream need a key (a global session window is refused on
-streams); ``key=None`` uses a constant key, which is one task by design.
+streams, and a constant key would be one task).
 """
 
 from __future__ import annotations
@@ -60,14 +60,13 @@ def stream_net_change(stream: DataFrame, time_col: str, size: str, plus: Column,
 
 
 def stream_sessions(stream: DataFrame, time_col: str, gap: str, measures: Mapping[str, Column],
-                    delay: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Session windows on a stream (append mode emits a session once the
+                    delay: str, keys: Sequence[str]) -> DataFrame:
+    """Session windows per key on a stream (append mode emits a session once the
     watermark passes its end)."""
-    keys = list(keys or [])
-    s = with_watermark(stream, time_col, delay)
+    keys = list(keys)
     if not keys:
-        s = s.withColumn("_all", F.lit(0))
-    g = s.groupBy(F.session_window(time_col, gap).alias("_w"), *(keys or ["_all"])).agg(
+        raise ValueError("a stream's sessions need a key; without one use windows.sessions on a table")
+    g = with_watermark(stream, time_col, delay).groupBy(F.session_window(time_col, gap).alias("_w"), *keys).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in measures.items()])
     return g.select(*keys, F.col("_w.start").alias(START), F.col("_w.end").alias(END), *measures)
 
@@ -76,27 +75,27 @@ def processing_time_windows(stream: DataFrame, size: str, measures: Mapping[str,
                             stamp: str = "processing_time") -> DataFrame:
     """Tumbling windows on arrival (processing) time: every row is stamped
     with the micro-batch's ``current_timestamp()`` and windowed on it.  Runs
-    differ by design; use output mode ``update`` or ``complete``."""
-    stamped = stream.withColumn(stamp, F.current_timestamp())
+    differ by design.  Use output mode ``update`` (a window's row each time it
+    changes; ``latest_windows`` reads the last one) or ``append`` (each window once,
+    closed).  The arrival time is its own watermark, so closed windows leave the state."""
+    stamped = stream.withColumn(stamp, F.current_timestamp()).withWatermark(stamp, "0 seconds")
     g = stamped.groupBy(F.window(stamp, size).alias("_w")).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in measures.items()])
     return g.select(F.col("_w.start").alias(START), F.col("_w.end").alias(END), *measures)
 
 
-def processing_time_count_trigger(stream: DataFrame, size: str, order: str, n: int, match: Column,
-                                  purge: bool = False, stamp: str = "processing_time") -> DataFrame:
-    """Count trigger inside tumbling processing-time windows: rows are
-    stamped with the micro-batch time, keyed by their window, and a
-    ``CountTrigger`` processor fires every n-th row of each window (contents
-    kept, or purged after each fire).  Output: window_start, window_end,
-    fire, n_seen, n_match."""
-    from eventide.streaming.stateful import CountTrigger, apply_stateful
-    w = (stream.withColumn(stamp, F.current_timestamp())
-               .withColumn("_w", F.window(stamp, size))
-               .select(order, F.col("_w.start").alias(START), F.col("_w.end").alias(END),
-                       F.coalesce(match, F.lit(False)).alias("is_match")))
-    return apply_stateful(w, [START, END], CountTrigger([START, END], order, n, "is_match", purge=purge),
-                          "window_start timestamp, window_end timestamp, fire long, n_seen long, n_match long")
+def latest_windows(updates: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Of the rows that ``update`` mode has written per micro-batch, each window's last."""
+    others = [c for c in updates.columns if c not in (START, END, batch)]
+    last = updates.groupBy(START, END).agg(F.max(F.struct(batch, *others)).alias("_r"))
+    return last.select(START, END, *[F.col(f"_r.`{c}`") for c in others])
+
+
+def processing_time_stamped(stream: DataFrame, size: str, stamp: str = "processing_time") -> DataFrame:
+    """The rows with the processing-time window of their micro-batch, for
+    ``carry.window_count_trigger``."""
+    w = stream.withColumn(stamp, F.current_timestamp()).withColumn("_w", F.window(stamp, size))
+    return w.withColumns({START: F.col("_w.start"), END: F.col("_w.end")}).drop("_w", stamp)
 
 
 def running_totals(stream: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:

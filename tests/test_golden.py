@@ -59,7 +59,7 @@ def test_session_registrations(spark):
 
 def test_session_small_buckets_same_answer(spark):
     out = windows.sessions(server_events(spark), "event_time", "1 second",
-                           {"n_match": windows.count_measure(K.is_registered)}, bucket_width="2 seconds")
+                           {"n_match": windows.count_measure(K.is_registered)}, width=2)
     got = {(secs(r.window_start), secs(r.window_end)): r.n_match for r in out.collect()}
     assert got == {(2, 5): 4, (6, 13): 2}
 
@@ -100,7 +100,7 @@ def test_best_window(spark):
 def test_best_so_far(spark):
     ev = server_events(spark)
     tumb = windows.net_change(ev, "event_time", "2 seconds", K.is_online, K.is_offline)
-    out = best.best_so_far(tumb, bucket_width="4 seconds").orderBy("window_start").collect()
+    out = best.best_so_far(tumb, width=2).orderBy("window_start").collect()
     got = [(secs(r.window_start), secs(r.best_start), r.best_net) for r in out]
     # nets 1, 1, 0, 0, 2, 0 at starts 2..12: first max wins, so 2 stays best until 10
     assert got == [(2, 2, 1), (4, 2, 1), (6, 2, 1), (8, 2, 1), (10, 10, 2), (12, 10, 2)]
@@ -110,7 +110,7 @@ def test_count_trigger_cumulative(spark):
     # small buckets (4 rows each) so the carry between buckets is exercised
     out = counting.count_trigger(server_events(spark), "seq", 2,
                                  {"n_match": windows.count_measure(K.is_registered)},
-                                 bucket=(F.col("seq") / 4).cast("long"))
+                                 width=4)
     got = [r.n_match for r in out.orderBy("fire").collect()]
     assert got == [1, 2, 4, 5, 5, 6, 6, 6, 6]
 
@@ -139,7 +139,7 @@ def test_window_count_trigger(spark):
 
 def test_rolling_sum_by_parity(spark):
     nums = number_sequence(spark, 1, 100).withColumn("is_even", (F.col("n") % 2) == 0)
-    out = rolling.running_sum_by_key(nums, "n", ["is_even"], F.col("n"), bucket=(F.col("n") / 7).cast("long"))
+    out = rolling.running_sum_by_key(nums, "n", ["is_even"], F.col("n"), width=7)
     rows = {r.n: r.running_sum for r in out.collect()}
     assert [rows[2], rows[4], rows[6]] == [2, 6, 12]
     assert [rows[1], rows[3], rows[5]] == [1, 4, 9]
@@ -188,7 +188,7 @@ def test_high_quantity_thresholds(spark):
 def test_last5_lengths(spark):
     ev = cart_events(spark, [(ADD, "u", f"s{i}", 1) for i in range(1, 8)])
     out = rolling.last_n_by_key(ev, "seq", ["user_id", "event_type"], 5, "seq", "last5", as_text=False,
-                                bucket=(F.col("seq") / 2).cast("long"))
+                                width=2)
     rows = [r.last5 for r in out.orderBy("seq").collect()]
     assert [len(x) for x in rows] == [1, 2, 3, 4, 5, 5, 5]
     assert rows[-1] == [3, 4, 5, 6, 7]
@@ -198,7 +198,7 @@ def test_last5_pair_null_for_unseen_type(spark):
     ev = cart_events(spark, [(ADD, "u", "a", 1), (ADD, "u", "b", 1), (REMOVE, "u", "c", 1),
                              (ADD, "v", "d", 1)])
     out = rolling.last_n_per_type(ev, "seq", ["user_id"], "event_type", {ADD: "adds", REMOVE: "removes"},
-                                  5, "seq", bucket=(F.col("seq") / 2).cast("long"))
+                                  5, "seq", width=2)
     got = [(r.seq, r.adds, r.removes) for r in out.orderBy("seq").collect()]
     assert got == [(1, "1", None), (2, "1,2", None), (3, "1,2", "3"), (4, "4", None)]
 
@@ -262,5 +262,5 @@ def test_last_n_keeps_null_values(spark):
     from eventide.operators import scan
     ev = cart_events(spark, [(ADD, "u", f"s{i}", 1) for i in range(1, 5)]).withColumn(
         "v", F.when(F.col("seq") == 2, F.lit(None)).otherwise(F.col("seq")))
-    out = scan.last_n(ev, "seq", 3, F.col("v"), "l", keys=["user_id"], bucket=(F.col("seq") / 2).cast("long"))
+    out = scan.last_n(ev, "seq", 3, F.col("v"), "l", keys=["user_id"], width=2)
     assert [r.l for r in out.orderBy("seq").collect()] == [[1], [1, None], [1, None, 3], [None, 3, 4]]

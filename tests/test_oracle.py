@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_mod
+from eventide.plans import catalog
 from eventide.plans.verify import compare, duck
 from tests.conftest import SF001
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
 def test_entry_smoke(spark):

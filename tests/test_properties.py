@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import counting, scan, transform, windows
 from eventide.schema import Kinds
-from eventide.sources.events import events_table
+from eventide.plans.tables import events_table
 from tests.conftest import SF001
 
 K = Kinds.events_table()
@@ -47,7 +47,7 @@ def test_itemized_rows_equal_positive_quantities(ev):
 @pytest.mark.parametrize("n", [3, 7, 10])
 def test_purged_groups_bound_rows(ev, n):
     out = counting.count_trigger(ev, "seq", n, {"m": windows.count_measure(K.is_add)}, purge=True,
-                                 bucket=scan.seq_bucket("seq", 997))
+                                 width=997)
     groups, rows = out.count(), ev.count()
     assert groups * n <= rows < (groups + 1) * n
     assert _sum(out, "n_seen") == groups * n
@@ -55,7 +55,7 @@ def test_purged_groups_bound_rows(ev, n):
 
 def test_sessions_partition_all_rows(ev):
     out = windows.sessions(ev, "event_time", "20 minutes", {"n": windows.count_measure()}, keys=["user_id"],
-                           bucket_width="3 hours")
+                           width=50)
     assert _sum(out, "n") == ev.count()
     # sessions of one user never overlap
     from pyspark.sql import Window
@@ -71,8 +71,9 @@ def test_hot_key_is_spread_over_tasks(spark, ev):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         out = scan.running_sums(hot, "seq", {"n": F.lit(1).cast("long")}, keys=["k"],
-                                bucket=scan.seq_bucket("seq", 100))
-        hot_rows = out.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+                                width=100)
+        hot_rows = out.where("k = -1").groupBy(F.spark_partition_id().alias("p")).agg(
+                F.count("*").alias("count"), F.max("n")).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     n_hot = sum(r["count"] for r in hot_rows)
