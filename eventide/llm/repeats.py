@@ -10,8 +10,10 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier
    fragments that are equal in content only the earliest can hold a first
    occurrence; the others are marked at once, within a batch before the shuffle
    and then within the shard.  A huge group of copies so shrinks to a row per batch.
-2. *Shards.*  Fragments of one gram that differ in content may still share
-   strings: their bytes are cut from the texts and dealt by gram.
+2. *Shards.*  Fragments of one gram that differ in content may still share a
+   string, but only if they agree in the bytes on one side of the gram (half of
+   what a string has beside it).  The bytes of those that agree with another in a
+   hash of either side are cut from the texts and dealt by gram.
 3. *Transform.*  A task joins its shards' fragments into one text, sorts its
    rotations by their first ``length`` bytes or more, and expands intervals of
    the Burrows-Wheeler transform by backward extension, breadth first: round l
@@ -46,7 +48,7 @@ from eventide.llm.common import fresh, ref, shared_folder
 LENGTH = 100
 GRAM = 24
 #: Bytes handled at once in a pass over texts, and in one transform.
-PIECE, TRANSFORM = 2 << 20, 4 << 20
+PIECE, TRANSFORM = 2 << 20, 1 << 18
 HOT_FRAGMENTS = 4096
 SEPARATOR = 0xFF  # no byte of UTF-8
 POSITION_BITS = 28  # positions in a piece, below the hash in a sort key
@@ -88,10 +90,12 @@ def window_min(keys: np.ndarray, size: int) -> np.ndarray:
 
 def fragments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Fragments of the concatenated texts that end at ``ends``: first start, number
-    of starts, gram hash."""
+    of starts, gram hash, and the hashes (32 bits each, 0 for none) of the bytes on
+    the gram's left and right.  A string has the whole left side if it starts early
+    enough, else the whole right one."""
     none = np.empty(0, np.int64)
     if len(data) < length:
-        return none, none, np.empty(0, np.uint64)
+        return none, none, np.empty(0, np.uint64), none
     hashes = gram_hashes(data, GRAM)
     low = np.uint64((1 << POSITION_BITS) - 1)
     keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -104,7 +108,14 @@ def fragments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarr
     new[1:] = (np.diff(at) != 1) | (np.diff(least[at]) != 0)
     first = np.flatnonzero(new)
     counts = np.diff(np.append(first, len(at)))
-    return at[first], counts, hashes[least[at[first]]]
+    start = at[first]
+    gram, side = least[start], (length - GRAM) // 2
+    if not side:
+        return start, counts, hashes[gram], np.full(len(start), 1 << 32 | 1, np.int64)
+    sides = gram_hashes(data, side) >> np.uint64(33) | np.uint64(1)
+    left = np.where(start <= gram - side, sides[np.maximum(gram - side, 0)], 0)
+    right = np.where(start + counts > gram - side + 1, sides[np.minimum(gram + GRAM, len(sides) - 1)], 0)
+    return start, counts, hashes[gram], (left << np.uint64(32) | right).astype(np.int64)
 
 
 def pieces(ids: list, texts: list[bytes], length: int) -> Iterator[tuple[list, list[int], list[bytes]]]:
@@ -162,18 +173,19 @@ def firsts(*keys: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.nd
 
 
 #: Rows of the first pass: fragments (n > 0) with gram and content hash, and marked
-#: spans (n = 0), whose size stands for the content hash.  ``at`` = start * 256 + n.
-ROWS = "gram long, content long, doc long, at long"
+#: spans (n = 0), whose size stands for the content hash.  ``at`` = start * 256 + n;
+#: ``sides`` = left * 2^32 + right.
+ROWS = "gram long, content long, doc long, at long, sides long"
 ROW_SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in ROWS.split(", ")])
 
 
-def rows_of(gram, content, doc, at) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (gram, content, doc, at)], schema=ROW_SCHEMA)
+def rows_of(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], schema=ROW_SCHEMA)
 
 
 def span_rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
     doc, start, size = merged_spans(doc, start, size)
-    return rows_of(spread(doc, start), size, doc, start * 256)
+    return rows_of(spread(doc, start), size, doc, start * 256, np.zeros(len(doc), np.int64))
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -187,21 +199,32 @@ def fragment_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa
         for ids, offsets, texts in pieces(known.column(0).to_pylist(), as_bytes(known.column(1)), length):
             joined = b"".join(texts)
             ends = np.cumsum([len(t) for t in texts])
-            first, n, gram = fragments(np.frombuffer(joined, np.uint8), ends, length)
+            first, n, gram, sides = fragments(np.frombuffer(joined, np.uint8), ends, length)
             text = np.searchsorted(ends, first, side="right")
             view, digest = memoryview(joined), xxhash.xxh3_64_intdigest
             content = np.array([digest(view[s:e]) for s, e in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], np.uint64)
             start = first - np.append(0, ends)[text] + np.array(offsets, np.int64)[text]
-            found.append((gram, content, np.array(ids, np.int64)[text], start, n))
+            found.append((gram, content, np.array(ids, np.int64)[text], start, n, sides))
         if found:
-            gram, content, doc, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            gram, content, doc, start, n, sides = (np.concatenate(x) for x in zip(*found, strict=True))
             order, new, later = firsts(gram, content, doc=doc, start=start)
             one = order[new]
-            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], start[one] * 256 + n[one])
+            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], start[one] * 256 + n[one], sides[one])
             late = order[later]
             yield span_rows(doc[late], start[late], n[late] + length - 1)
 
 
+def met_again(gram: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Rows whose (gram, side) another row has too; side 0 is none."""
+    order = np.lexsort((side, gram))
+    g, s = gram[order], side[order]
+    same = (g[1:] == g[:-1]) & (s[1:] == s[:-1]) & (s[1:] != 0)
+    out = np.zeros(len(gram), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
 SPANS = "doc long, start long, size long, gram long, n int"
 
 
@@ -209,18 +232,19 @@ def shard_rows(batches: Iterable[pa.RecordBatch], length: int, hot: int) -> Iter
     """Marked spans (size set), and the fragments whose bytes are needed (gram and n
     set; n < 0 where the gram is hot)."""
     whole = pa.Table.from_batches(batches, ROW_SCHEMA)
-    gram, content, doc, at = (whole.column(i).to_numpy() for i in range(4))
+    gram, content, doc, at, sides = (whole.column(i).to_numpy() for i in range(5))
     done = at % 256 == 0
     spans = [(doc[done], at[done] // 256, content[done])]
-    gram, content, doc, start, n = (x[~done] for x in (gram, content, doc, at // 256, at % 256))
+    gram, content, doc, start, n, sides = (x[~done] for x in (gram, content, doc, at // 256, at % 256, sides))
     order, new, later = firsts(gram, content, doc=doc, start=start)
     late, one = order[later], order[new]
     spans.append((doc[late], start[late], n[late] + length - 1))
-    doc, start, gram, n = doc[one], start[one], gram[one], n[one]
+    gram, sides = gram[one], sides[one]
+    wanted = met_again(gram, sides >> 32) | met_again(gram, sides & 0xFFFFFFFF)
+    doc, start, gram, n = doc[one][wanted], start[one][wanted], gram[wanted], n[one][wanted]
     _, which, kinds = np.unique(gram, return_inverse=True, return_counts=True)
-    kinds = kinds[which] if len(which) else which
-    n = np.where(kinds > hot, -n, n)[kinds > 1]
-    doc, start, gram = doc[kinds > 1], start[kinds > 1], gram[kinds > 1]
+    if len(gram):
+        n = np.where(kinds[which] > hot, -n, n)
     names = ["doc", "start", "size", "gram", "n"]
     marked = merged_spans(*(np.concatenate(x) for x in zip(*spans, strict=True)))
     yield pa.RecordBatch.from_arrays([*map(pa.array, marked), pa.nulls(len(marked[0]), pa.int64()), pa.nulls(len(marked[0]), pa.int32())], names)
