@@ -22,6 +22,7 @@ task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,11 +158,12 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
         *[F.sum(e).cast("long").alias(f"_m_{n}") for n, e in measures.items()])
     if not s.any:
         return _session_rows(ls, keys, F.col("_first"), F.col("_last"), {n: F.col(f"_m_{n}") for n in measures}, gap_us)
-    # the bucket table reads the same columns as the stitching (the sums by way of
-    # the filter), so that both share the exchange of the raw rows
-    used = F.count(F.struct("_first", "_last", *[f"_m_{n}" for n in measures]))
+    # the bucket table reads the same columns as the stitching (those it does not
+    # need by way of a filter that is always true), so both share one raw exchange
+    used = ["_first", "_last", *[f"_m_{n}" for n in measures]]
     bt = ls.groupBy(*keys, BUCKET).agg(F.min("_lmin").alias("_bmin"), F.max("_lmax").alias("_bmax"), F.max("_ls").alias("_bdef"),
-                                       F.max(SPLIT).alias(SPLIT), used.alias("_n")).where(F.col(SPLIT) & (F.col("_n") >= 0))
+                                       F.max(SPLIT).alias(SPLIT), *[F.max(c).alias(c) for c in used])
+    bt = bt.where(F.col(SPLIT) & reduce(Column.__or__, [F.col(c).isNotNull() for c in used]))
     bw = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(BUCKET)
     prev_max = F.lag("_bmax").over(bw)
     bt = bt.withColumn("_bfirst", prev_max.isNull() | (F.col("_bmin") - prev_max > gap_us))
@@ -170,7 +172,7 @@ def sessions(df: DataFrame, time_col: str, gap: str, measures: Mapping[str, Colu
     bt = bt.select(*keys, BUCKET, F.when(F.col("_bfirst"), F.col("_bmin")).otherwise(F.col("_carry")).alias("_head"))
     cond = same_keys("l", "b", keys) & (F.col(f"l.{BUCKET}") == F.col(f"b.{BUCKET}"))
     tagged = ls.alias("l").join(F.broadcast(bt).alias("b"), cond, "left").select(
-        *[F.col(f"l.`{c}`") for c in ls.columns], F.coalesce("_ls", "_head", "_lmin").alias("_sid"))
+        *[F.col(f"l.`{c}`") for c in ls.columns], F.coalesce("_ls", F.when(F.col(SPLIT), F.col("_head")), "_lmin").alias("_sid"))
     out = tagged.groupBy(*keys, "_sid").agg(
         F.min("_first").alias("_first"), F.max("_last").alias("_last"),
         *[F.sum(f"_m_{n}").cast("long").alias(n) for n in measures])

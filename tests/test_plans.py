@@ -6,34 +6,98 @@ import re
 
 import pytest
 
+from eventide.operators import scan
 from eventide.plans import catalog
 from eventide.plans.verify import plan_text
 from tests.conftest import SF001
 
 
-def _exchanges(plan: str) -> list[str]:
-    return re.findall(r"Arguments: (hashpartitioning\([^\n]*|SinglePartition[^\n]*|rangepartitioning[^\n]*)", plan)
+def executed(df):
+    """Nodes of the plan that ran, as (depth, text), parents before children."""
+    df.collect()
+    tree = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    found = [re.match(r"^([\s:+\-]*)(?:\*\(\d+\) )?([A-Z]\w*.*)$", line) for line in tree.split("\n")]
+    return [(len(m[1]), m[2]) for m in found if m]
+
+
+def raw_exchanges(nodes):
+    """Shuffles of rows that no aggregate has reduced since the last shuffle or scan."""
+    raw = []
+    for i, (depth, text) in enumerate(nodes):
+        if not text.startswith("Exchange "):
+            continue
+        below = []
+        for deeper, child in nodes[i + 1:]:
+            if deeper <= depth or child.startswith(("Exchange ", "ReusedExchange")):
+                break
+            below.append(child)
+        if not any("Aggregate(" in x for x in below):
+            raw.append(text)
+    return raw
+
+
+@pytest.mark.parametrize(("name", "moved"), [
+    ("st_count_by_user", 1), ("run_sum_by_key", 1), ("st_type_counts_by_user", 1), ("ev_count_trigger", 1),
+    ("st_last5_user_type", 1), ("st_last5_type", 1), ("ev_session_by_user", 1), ("ev_session_global", 1), ("ev_window_count_trigger", 1)])
+def test_raw_rows_move_once(spark, name, moved):
+    """The plan that ran, with split keys, has one exchange of the raw rows."""
+    nodes = executed(catalog.QUERIES[name](spark, SF001))
+    assert any("_bkt" in text for _, text in nodes if text.startswith("Exchange ")) or any("_split" in t or "_bkt" in t for _, t in nodes)
+    assert len(raw_exchanges(nodes)) == moved, raw_exchanges(nodes)
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_single_partition_over_raw_rows(spark, name):
-    """A SinglePartition exchange may only move small derived tables (bucket
-    summaries, window tables, one-row aggregates), never the raw event rows:
-    the node right under it must be an aggregate or a bucket-level window."""
-    plan = plan_text(catalog.QUERIES[name](spark, SF001))
-    lines = plan.split("\n")
-    tree = [ln for ln in lines if re.match(r"^[\s:+\-|]*[A-Z]\w*( |\(|$)", ln) and "(" in ln]
-    for i, ln in enumerate(tree):
-        if "Exchange" in ln and i + 1 < len(tree):
-            node_id = re.search(r"\((\d+)\)", ln).group(1)
-            body = plan.split(f"({node_id}) Exchange")[-1].split("\n\n")[0]
-            if "SinglePartition" in body:
-                below = tree[i + 1]
-                assert "Aggregate" in below or "Window" in below or "Project" in below \
-                    or "Filter" in below, (name, below)
-                # and that input must come from a shuffle of partial results, not a scan
-                sub = "\n".join(tree[i + 1:i + 4])
-                assert "Scan parquet" not in sub, (name, sub)
+    """A single task may only take what an aggregate has reduced: bucket summaries,
+    window tables, one-row results."""
+    nodes = executed(catalog.QUERIES[name](spark, SF001))
+    assert not [x for x in raw_exchanges(nodes) if "SinglePartition" in x]
+
+
+def _events(spark, rows):
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame(rows, "k long, seq long").repartition(4).withColumn("t", F.timestamp_micros("seq"))
+
+
+def _largest(s):
+    from pyspark.sql import functions as F
+
+    return s.df.groupBy("k", "_bkt").agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*")).first()
+
+
+@pytest.mark.parametrize("order", ["seq", "t"])
+def test_buckets_are_bounded_for_any_order(spark, order):
+    """Sparse ids, a burst and one outlier: the largest bucket is near the width."""
+    sparse = [(1, i << 20) for i in range(8000)]
+    burst = [(2, 10**12 + i) for i in range(8000)] + [(2, 5), (2, 10**15)]
+    for rows in (sparse, burst):
+        most, buckets = _largest(scan.split(_events(spark, rows), order, ["k"], 640))
+        assert most <= 2 * 640 and buckets <= 3 * len(rows) / 640
+        df = _events(spark, rows).drop("k")
+        whole = scan.split(df, order, [], 640).df.groupBy("_bkt").count().agg({"count": "max"}).first()[0]
+        assert whole <= 2 * 640
+
+
+def test_only_hot_keys_are_split(spark):
+    """Many small keys and one hot key: as many buckets as the hot key needs, and a
+    carry far smaller than the input."""
+    rows = [(i % 1000, i) for i in range(10000)] + [(-1, 10**6 + i) for i in range(5000)]
+    s = scan.split(_events(spark, rows), "seq", ["k"], 500)
+    assert s.any
+    split_keys = {r["k"] for r in s.df.where("_split").select("k").distinct().collect()}
+    assert split_keys == {-1}
+    assert s.df.where("_split").select("k", "_bkt").distinct().count() <= 20
+    small = scan.split(_events(spark, rows[:10000]), "seq", ["k"], 500)
+    assert not small.any
+
+
+def test_null_order_fails(spark):
+    from pyspark.sql import functions as F
+
+    df = _events(spark, [(1, 1), (1, None), (None, 3)])
+    with pytest.raises(Exception, match="null in order column"):
+        scan.running_sums(df, "seq", {"n": F.lit(1)}, ["k"]).collect()
 
 
 def test_filter_pushdown_and_pruning(spark):
@@ -50,16 +114,6 @@ def test_window_queries_read_only_needed_columns(spark):
     assert read == "struct<ts:timestamp_ntz,event_type:string>"
 
 
-def test_keyed_scan_shuffles_raw_rows_once(spark):
-    """The running count per user moves the raw rows once, hashed on
-    (user, bucket); the carry table is joined without re-shuffling them."""
-    plan = plan_text(catalog.st_count_by_user(spark, SF001))
-    ex = _exchanges(plan)
-    raw = [e for e in ex if "user_id" in e and "_bkt" in e]
-    assert raw, ex
-    assert not any("rangepartitioning" in e for e in ex)
-
-
 def test_sliding_window_expands_after_preaggregation(spark):
     plan = plan_text(catalog.ev_sliding_count(spark, SF001))
     # the explode (Generate) must sit above the first aggregate, not on the scan
