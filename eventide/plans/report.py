@@ -44,12 +44,12 @@ def main(sf_dir: str, out: str) -> None:
         "",
         f"Physical plan shape of every registered query (`explain(\"formatted\")`, initial adaptive plan, "
         f"{sf_dir}). Generated by `python -m eventide.plans.report`. `(k, _bkt)` exchanges move raw rows hashed "
-        "on key and order bucket (no task holds a whole hot key); exchanges on the key alone or a single "
-        "partition move bucket-summary or aggregated tables only. A second `(k, _bkt)` exchange is either the "
-        "partially aggregated bucket totals (one row per key, bucket and map task) or the same raw-row exchange, "
-        "which AQE reuses at run time (`ReusedExchange`). Predicates on the event type stay inside `count_if` "
-        "(a window with no match still reports 0), so only `IsNotNull` filters reach those scans. Static "
-        "broadcasts are off: AQE broadcasts a side only after measuring its shuffle output under 64 MB.",
+        "on key and order bucket (keys with more rows than the query's width are split); exchanges on the key "
+        "alone or a single partition move bucket-summary or aggregated tables only. A second `(k, _bkt)` exchange "
+        "is either the partially aggregated totals of split keys or the same raw-row exchange, which AQE reuses "
+        "at run time (`ReusedExchange`); tests/test_plans.py counts them in executed plans. Predicates on the event type stay inside `count_if` "
+        "(a window with no match still reports 0), so only `IsNotNull` filters reach those scans. Bounds and "
+        "carries of split keys are broadcast; else AQE broadcasts only what it has measured under 64 MB.",
         "",
         "| query | hash exchanges (keys) | single-partition | windows | reads | pushed filters |",
         "| --- | --- | --- | --- | --- | --- |",

@@ -236,7 +236,7 @@ def test_partition_map_setup_teardown(spark, scratch):
 
     nums = number_sequence(spark, 1, 10)
     out = transform.partition_map(
-        nums, lambda b: b.__class__.from_arrays([b.column(0), pc.multiply(b.column(0), 2)], names=["n", "x"]),
+        nums, lambda b, _: b.__class__.from_arrays([b.column(0), pc.multiply(b.column(0), 2)], names=["n", "x"]),
         "n long, x long", setup=Hooks)
     assert sorted(r.x for r in out.collect()) == [2 * i for i in range(1, 11)]
     assert any(f.startswith("opened") for f in os.listdir(scratch))
