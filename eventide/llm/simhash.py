@@ -33,6 +33,8 @@ from eventide.llm.components import smallest_reachable
 
 SHINGLE, RADIUS, HASH_SEED = 3, 2, 42
 CHUNK = 1 << 16
+#: A fingerprint with more than this part of all rows is hot.
+HOT_PARTS = 1000
 
 
 def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -159,7 +161,7 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", s
 
     filled = F.coalesce(ref(text), F.lit(""))
     rows = checkpointed(df.select(ref(row_id).alias("doc_id"), F.xxhash64(filled).alias("text_hash"), hashed(filled).alias("fp")))
-    classes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    classes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = checkpointed(smallest_reachable(links(classes.select("fp"), radius)))
     # only linked classes are joined: each with its root, the roots with themselves
     linked = roots.select("node", "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
@@ -168,8 +170,12 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", s
     placed = linked.join(named, "root").select(F.col("node").alias("fp"), "root", "name")
     final = classes.join(placed, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
-        F.when(F.col("root").isNotNull(), F.col("name")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(final, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+        F.when(F.col("root").isNotNull(), F.col("name")).otherwise(F.col("least")).alias("component_id"), "n")
+    # rows of a fingerprint that many share would meet in one task: those fingerprints,
+    # at most HOT_PARTS in number, are broadcast and the others shuffled
+    hot = F.broadcast(final.where(F.col("n") * HOT_PARTS > rows.count()).drop("n"))
+    spread = rows.join(hot, "fp").unionByName(rows.join(hot.select("fp"), "fp", "left_anti").join(final.drop("n"), "fp"))
+    return spread.select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def one_of_each(df: DataFrame, row_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
