@@ -55,6 +55,11 @@ ONLY_TABLE, NOTHING = frozenset(("table",)), frozenset(())
 END_ALL = SECTIONS | {"tr", "optgroup", "caption"}
 TABLE_PARTS = SECTIONS | {"table", "tr"}
 ROW_PARENTS = SECTIONS | {"table"}
+#: Start tags that stand in a table as they are; other elements directly in a table,
+#: section or row go before the table, as text does.
+STRUCTURE = IN_TABLE | {"col", "colgroup"}
+KEPT_IN_TABLE = STRUCTURE | {"script", "style", "template"}
+TABLE_PLACES = IN_TABLE | {"html"}
 SPACES = re.compile("[ \t\n\x0c\r]+")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)", re.I)
@@ -76,10 +81,11 @@ INDENTED = frozenset(("li", "blockquote", "dd"))
 
 
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    __slots__ = ("attrs", "children", "parent", "tag", "under")
 
-    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None, under: Node | None = None):
+        """``under`` is the element open around it: the parent, unless it was moved before a table."""
+        self.tag, self.attrs, self.parent, self.under = tag, attrs, parent, under or parent
         self.children: list[Node | str] = []
 
 
@@ -137,8 +143,13 @@ class TreeBuilder:
             self.handle_data(unescape(data) if references and "&" in data else data)
 
     def push(self, tag: str, attrs: dict[str, str | None]) -> None:
-        node = Node(tag, attrs, self.at)
-        self.at.children.append(node)
+        table = self.open_table() if self.at.tag in TABLE_PARTS and tag not in KEPT_IN_TABLE else None
+        if table is None:
+            node = Node(tag, attrs, self.at)
+            self.at.children.append(node)
+        else:
+            node = Node(tag, attrs, table.parent, self.at)
+            put_before(table, node)
         if tag not in VOID and self.depth < MAX_DEPTH:
             self.at = node
             self.depth += 1
@@ -147,7 +158,7 @@ class TreeBuilder:
     def pop_to(self, node: Node) -> None:
         """Close everything up to and including ``node``."""
         while True:
-            closed, self.at = self.at, self.at.parent or self.root
+            closed, self.at = self.at, self.at.under or self.root
             self.depth -= 1
             self.in_scope[closed.tag] -= 1
             if closed is node:
@@ -168,9 +179,28 @@ class TreeBuilder:
                 return True
             if node.tag in within:
                 return False
-            node = node.parent
+            node = node.under
         return False
 
+    def open_table(self) -> Node | None:
+        """The table whose part is open here."""
+        table = self.at
+        while table is not None and table.tag != "table":
+            table = table.parent
+        return table
+
+    def back_to_table(self, tag: str) -> None:
+        """A part of a table ends what stands open directly in the table, section or
+        row around; another table ends the table itself."""
+        part = self.at
+        while part.tag not in TABLE_PLACES:
+            part = part.under
+        if part.tag in TABLE_PARTS:
+            while self.at is not part:
+                self.pop_to(self.at)
+            if tag == "table":
+                self.close(("table",), NOTHING)
+
     def handle_starttag(self, tag: str, attrs: dict[str, str | None]) -> None:
         if tag in ("html", "body"):
             self.close(("head",), NOTHING)
@@ -178,6 +208,8 @@ class TreeBuilder:
             return
         if self.in_scope.get("head") and tag not in IN_HEAD:
             self.close(("head",), HEAD_KEEPS)
+        if tag in STRUCTURE and self.in_scope.get("table"):
+            self.back_to_table(tag)
         if tag in ENDS_P:
             self.close(("p",), SCOPE)
         if tag in ENDS:
@@ -208,18 +240,17 @@ class TreeBuilder:
         if self.at.tag in TABLE_PARTS:
             if data.isspace():
                 return
-            table = self.at  # text between cells goes before the table
-            while table.tag != "table":
-                if table.parent is None:
-                    break
-                table = table.parent
-            if table.parent is not None:
-                own = table.parent.children
-                own.insert(len(own) - 1 - next(i for i, x in enumerate(reversed(own)) if x is table), data)
+            if (table := self.open_table()) is not None:  # text between cells goes before the table
+                put_before(table, data)
                 return
         self.at.children.append(data)
 
 
+def put_before(table: Node, piece: Node | str) -> None:
+    own = table.parent.children
+    own.insert(len(own) - 1 - next(i for i, x in enumerate(reversed(own)) if x is table), piece)
+
+
 def attributes(page: str, at: int) -> tuple[dict[str, str | None] | None, int]:
     """The attributes from ``at`` on (the first of equal names counts) and the place
     after the tag; None if the page ends within it."""
@@ -397,8 +428,8 @@ def laid(node: Node, pieces: list, cells: dict[int, list], level: int) -> list:
             table = table.parent
         if table is not None and table.tag == "table":
             cells.setdefault(id(table), []).append(own)
-            return []
-        lines = grid([own])
+            return [Block(lines, False)] if lines else []
+        lines = lines + grid([own])
     if tag == "table":
         lines = lines + grid(cells.pop(id(node), []))
     elif tag == "li":

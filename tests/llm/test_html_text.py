@@ -59,6 +59,67 @@ def test_every_visible_text_comes_out_in_order():
         assert page_text(page).split() == seen
 
 
+ROWS = {
+    "<table><tr><b>note</b><td>x</td></tr></table>": "note\n\nx",
+    "<table><tr><td>x</td><div>note</div><td>y</table>": "note\n\nx  y",
+    "<table><tr>one <font>two</font> three<td>x</table>": "one two three\n\nx",
+    "<table><center>c<tr><td>x<tr><p>p<td>y</table>": "c\n\np\n\nx\ny",
+    "<table><form><tr><td>a<td>b<tr><td>cc<td>d</form></table>": "a   b\ncc  d",
+    "<table><tr><td>a</td><table><tr><td>b</table>": "a\n\nb",
+    "<table><tr><td>a<table><tr><i> n</i><td>b</table></table>": "a n\n\nb",
+    "<details><table><tr><b>n</b><td>x</table></details>y": "y",
+    "<ol start=4><table><tr><li>n</li><td>x</table></ol>": "4. n\n\nx",
+    "<tr><b>note</b><td>x</td></tr>": "note\nx",
+}
+
+
+@pytest.mark.parametrize("page", ROWS)
+def test_what_stands_between_cells_comes_out(page):
+    assert page_text(page) == ROWS[page]
+
+
+def test_every_visible_text_of_tables_comes_out():
+    """Random trees with tables, and with texts and elements directly in their parts."""
+    rnd = random.Random(8)
+    inline = ["div", "span", "b", "a", "center", "blockquote"]
+    for _ in range(400):
+        seen: list[str] = []
+
+        def word(shown: bool, seen=seen) -> str:
+            seen += [f"w{len(seen)}"] if shown else []
+            return f" w{len(seen) - 1} " if shown else " hidden "
+
+        def tree(depth: int, shown: bool, tables: bool = True, word=word) -> str:
+            out = ""
+            for _ in range(rnd.randint(1, 3)):
+                if depth == 0 or rnd.random() < 0.3:
+                    out += word(shown)
+                elif tables and rnd.random() < 0.5:
+                    out += table(depth - 1, shown)
+                else:
+                    tag = rnd.choice(inline if tables else inline[:4])
+                    hide = rnd.random() < 0.15
+                    out += f"<{tag}{' hidden' if hide else ''}>{tree(depth - 1, shown and not hide, tables)}</{tag}>"
+            return out
+
+        def between(depth: int, shown: bool, tree=tree) -> str:
+            return tree(max(depth, 0), shown, False) if rnd.random() < 0.4 else ""
+
+        def table(depth: int, shown: bool, tree=tree, between=between) -> str:
+            out = ""
+            for _ in range(rnd.randint(1, 3)):
+                out += between(depth, shown) + "<tr>"
+                for _ in range(rnd.randint(0, 3)):
+                    hide = rnd.random() < 0.15
+                    out += between(depth, shown)
+                    out += f"<td{' hidden' if hide else ''}>{tree(max(depth - 1, 0), shown and not hide)}</td>"
+                out += between(depth, shown) + "</tr>"
+            return f"<table>{out}</table>"
+
+        page = tree(4, True)
+        assert sorted(page_text(page).split()) == sorted(seen), page
+
+
 @pytest.mark.parametrize("page", ["<div>" * 20000 + "x", "<p>x" * 20000, "<ul><li>x" * 20000, "<table><tr><td>" * 5000, "<!--" * 9999 + "<a " * 9999,
                                  "<a b='" * 20000, "<td>x<tr>" * 5000, "&" * 50000, "<b><p>x" * 5000, "</b>" * 20000, "<table><td colspan=99999999>x" * 50])
 def test_hostile_pages_take_linear_time(page):
