@@ -12,14 +12,16 @@ is, however the order values are spread, and with one outlier or a burst:
 
 1. bounds       a statistics job over (keys, order): one row in
                 ``width / SAMPLES`` (by hash), ranked within its key; every
-                ``SAMPLES``-th is a bound.  At most rows / width bounds in all
-                reach the driver and are broadcast with their keys
+                ``SAMPLES``-th is a bound.  About rows / width bounds in all
+                reach the driver and are broadcast with their keys; the width
+                grows with the rows, so these are at most about ``MAX_BUCKETS``
 2. local pass   window over ``partition by key, bucket order by seq``: the one
                 exchange of the raw rows.  Keys that are not split have one
                 bucket, and their result is final
 3. carry        of split keys only: bucket summaries straight from the input
                 by partial aggregation, combined over the earlier buckets; at
-                most rows / width rows more than split keys, so it is broadcast
+                most as many rows more than split keys as there are bounds, so it
+                is broadcast
 
 The last-n scan needs no carry: the last rows of a bucket are dealt to the next
 one as well (a "halo", dropped afterwards).
@@ -42,6 +44,9 @@ from eventide.functions.exprs import epoch_us
 
 # Rows per (key, bucket) group; bounds and carries have rows / width entries.
 DEFAULT_WIDTH = 1 << 20
+# A smaller width is widened to rows / MAX_BUCKETS, so that the driver's work and the
+# broadcasts do not grow with the table.
+MAX_BUCKETS = 4096
 # Sampled rows per bucket: a bucket's size is width give or take a fifth.
 SAMPLES = 32
 BUCKET, ORDER, SPLIT, HALO = "_bkt", "_ord", "_split", "_halo"
@@ -93,11 +98,13 @@ def bounds(df: DataFrame, keys: Sequence[str], width: int, halo: int = 0) -> lis
 
 
 def split(df: DataFrame, order: str, keys: Sequence[str] = (), width: int = DEFAULT_WIDTH, halo: int = 0) -> Split:
-    """Deal each key's rows to buckets of about ``width`` rows in ``order``."""
+    """Deal each key's rows to buckets of about ``width`` rows in ``order``, or more
+    if the table would have over ``MAX_BUCKETS`` of them."""
     if width < 1:
         raise ValueError("width must be >= 1")
     keys = list(keys)
     d = df.withColumn(ORDER, order_number(df, order))
+    width = max(width, -(-d.count() // MAX_BUCKETS))
     found = bounds(d, keys, width, halo)
     if not found:
         return Split(d.withColumn(BUCKET, F.lit(0)), False)
@@ -109,7 +116,8 @@ def split(df: DataFrame, order: str, keys: Sequence[str] = (), width: int = DEFA
         d = d.alias("d").join(F.broadcast(hot).alias("h"), same_keys("d", "h", keys), "left").select(
             *[F.col(f"d.`{c}`") for c in d.columns], "h._bounds", "h._halos")
     else:
-        literal = [F.array(*[F.lit(x).cast("long") for x in found[0][c]]) for c in ("_bounds", "_halos")]
+        # one folded literal each, however many bounds
+        literal = [F.split(F.lit(",".join(map(str, found[0][c]))), ",").cast("array<bigint>") for c in ("_bounds", "_halos")]
         d = d.withColumns({"_bounds": literal[0], "_halos": literal[1]})
     # binary search: number of bounds below the row's order
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(longest.bit_length()))])

@@ -44,6 +44,7 @@ HISTORY_PAGE = 1000
 # Rows per bucket of a split key (see operators.scan).  Far below the library's
 # default, so that keys are split at the driver's sizes too and every green row
 # covers the carry: the whole order, the five types, the users (up to 100 events).
+# On larger tables the scan widens them (scan.MAX_BUCKETS).
 ORDER_WIDTH, TYPE_WIDTH, USER_WIDTH, USER_TYPE_WIDTH, WINDOW_WIDTH = 2000, 500, 32, 8, 16
 LABEL_REGISTERED = "players registered"
 

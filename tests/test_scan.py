@@ -8,6 +8,7 @@ the whole sf0.01 events table.
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventide.operators import counting, rolling, scan, windows
@@ -145,3 +146,26 @@ def test_history_pages_small(ev, con):
         FROM (SELECT {HOT} AS k, event_id, row_number() OVER (PARTITION BY {HOT} ORDER BY event_id) AS rn
               FROM events)
         GROUP BY k, (rn - 1) // 50""")
+
+
+@pytest.mark.parametrize("keys", [[], ["k"], ["g"]])
+def test_bounds_do_not_grow_with_the_table(spark, monkeypatch, keys):
+    """A small width is widened on a long table; the results stay the same."""
+    monkeypatch.setattr(scan, "MAX_BUCKETS", 50)
+    df = spark.range(6000).selectExpr("id as seq", "IF(id % 3 = 0, 0, id % 40) as k", "id % 500 as g", "id % 7 as v")
+    found, made = [], scan.bounds
+
+    def bounds(*args):
+        found.append(made(*args))
+        return found[-1]
+
+    monkeypatch.setattr(scan, "bounds", bounds)
+    got = scan.running_sums(df, "seq", {"n": F.lit(1), "t": F.col("v")}, keys, width=2)
+    last = scan.last_n(df, "seq", 3, F.col("v"), "l", keys=keys, width=2)
+    for rows in found:
+        assert sum(len(r["_bounds"]) for r in rows) <= 60
+    w = Window.partitionBy(*keys).orderBy("seq")
+    want = df.select("seq", F.count("*").over(w).alias("n"), F.sum("v").over(w).alias("t"),
+                     F.collect_list("v").over(w.rowsBetween(-2, 0)).alias("l"))
+    assert sorted(got.select("seq", "n", "t").collect()) == sorted(want.select("seq", "n", "t").collect())
+    assert sorted(last.select("seq", "l").collect()) == sorted(want.select("seq", "l").collect())
