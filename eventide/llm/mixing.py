@@ -18,6 +18,8 @@ the source and the seed, so reruns agree.  DataFrame expressions only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,7 +78,19 @@ def sampled(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
     target 0 and no copies.  Rows that repeat an id are ranked by size; equal
     rows are interchangeable.  An empty table gives an empty result.
     """
-    rows = df.select(ref(row_id).alias("doc_id"), ref(source).alias("source"), word_count(ref(text)).alias("size"))
+    return _copies(_rows(df, row_id, source, text), weights, max_repeat, slices, seed).select(
+        "doc_id", "size", "source_size", "target", "copies")
+
+
+def _rows(df: DataFrame, row_id: str, source: str, text: str, *more: Column) -> DataFrame:
+    return df.select(ref(row_id).alias("doc_id"), ref(source).alias("source"), word_count(ref(text)).alias("size"), *more)
+
+
+def _copies(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, slices: int = SLICES,
+            seed: int = SEED, ties: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (doc_id, source, size and ``ties``, which order rows of equal size
+    and id) plus source_size, target and copies."""
+    kept = rows.columns
     size_class = F.floor(F.log2(F.col("size") + F.lit(1.0)) * 4)
     rows = rows.withColumns({"class": size_class, "slice": F.coalesce(F.pmod("doc_id", F.lit(slices)), F.lit(0))})
     group = ["source", "class", "slice"]
@@ -87,27 +101,49 @@ def sampled(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
     starts = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("a").join(
         targets.alias("b"), F.expr("a.source <=> b.source")).select(
         *[F.col(f"a.{c}") for c in (*group, "before")], "source_size", "target")
-    order = Window.partitionBy(*group).orderBy("size", F.col("doc_id").asc_nulls_first())
+    order = Window.partitionBy(*group).orderBy("size", F.col("doc_id").asc_nulls_first(), *ties)
     ranked = rows.withColumn("rank", F.row_number().over(order)).alias("a")
     same = F.expr("a.source <=> b.source AND a.class = b.class AND a.slice = b.slice")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     at, u = F.col("before") + F.col("rank"), offset(F.col("a.source"), seed)
     copies = F.floor(rate * at + u) - F.floor(rate * (at - 1) + u)
     return ranked.join(starts.alias("b"), same).select(
-        "a.doc_id", "a.size", "source_size", "target", copies.cast("long").alias("copies"))
+        *[F.col(f"a.{c}") for c in kept], "source_size", "target", copies.cast("long").alias("copies"))
 
 
-def mixed(df: DataFrame, row_id: str = "doc_id", **options) -> DataFrame:
+def _row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the row; maps, which have no hash, as JSON."""
+    kinds = dict(df.dtypes)
+    values = [F.to_json(F.struct(ref(c))) if "map<" in kinds[c] else ref(c) for c in columns]
+    # the hash skips nulls, so where they stand goes in as well
+    nulls = F.concat(*[F.when(ref(c).isNull(), "0").otherwise("1") for c in columns])
+    return [F.xxhash64(F.lit(i), nulls, *values) for i in range(2)]
+
+
+def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mix itself: each row of ``df`` as often as its copies say, with the
-    number of the copy (from 1) in a column ``copy``.  Rows that share an id get
-    their copies by (id, size): equal rows take the mean, rounded up or down by the
-    sum, and a column ``copy`` that was there is replaced."""
-    text = options.get("text", "text")
-    taken = sampled(df, row_id, **options).groupBy("doc_id", "size").agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
-    names = {n: fresh(df.columns, n) for n in ("doc_id", "size", "copies", "rows", "mean")}
-    taken = taken.select(*[F.col(n).alias(names[n]) for n in ("doc_id", "size", "copies", "rows")])
-    joined = df.join(taken, ref(row_id).eqNullSafe(F.col(names["doc_id"])) & (word_count(ref(text)) == F.col(names["size"])))
-    each = F.ceil(F.col(names["copies"]) / F.col(names["rows"])).cast("int")
+    number of the copy (from 1) in a column ``copy``; a column ``copy`` that was
+    there is replaced.  Rows of equal source, size and id are ranked by a hash of
+    the row, so each has copies of its own.  Rows equal in all columns are one row
+    with the sum of their copies, numbered as if dealt to them in turn."""
     kept = [c for c in df.columns if c.lower() != "copy"]
-    return joined.select(*map(ref, kept), F.explode(F.sequence(F.lit(1), each)).alias("copy"))
+    key = ["doc_id", "source", "size", "hash_a", "hash_b"]
+    names = {n: fresh(df.columns, n) for n in (*key, "copies", "rows")}
+    other = {n: fresh(df.columns, f"own_{n}") for n in key}
+    hashes = [h.alias(names[n]) for n, h in zip(("hash_a", "hash_b"), _row_hashes(df, kept), strict=True)]
+    told = df.select(*map(ref, kept), *hashes)
+    rows = _rows(told, row_id, source, text, *[ref(names[n]).alias(n) for n in ("hash_a", "hash_b")])
+    taken = _copies(rows, **options, ties=("hash_a", "hash_b")).groupBy(*key).agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    taken = taken.select(*[F.col(n).alias(other[n]) for n in key], *[F.col(n).alias(names[n]) for n in ("copies", "rows")])
+    own = [ref(row_id), ref(source), word_count(ref(text)), ref(names["hash_a"]), ref(names["hash_b"])]
+    joined = told.join(taken, reduce(and_, [c.eqNullSafe(F.col(other[n])) for n, c in zip(key, own, strict=True)]))
+    copies, n_rows = F.col(names["copies"]), F.col(names["rows"])
+    one = joined.where(n_rows == 1).select(*map(ref, kept), F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
+    # equal rows collapse by partial aggregation, however many there are
+    packed = F.struct(*[ref(c).alias(f"c{i}") for i, c in enumerate(kept)])
+    many = joined.where(n_rows > 1).groupBy(*[F.col(other[n]) for n in key], copies, n_rows).agg(
+        F.first(packed).alias("row"))
+    turns = F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), lambda k: F.floor(k / n_rows).cast("int") + 1)
+    many = many.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)], F.explode(turns).alias("copy"))
+    return one.union(many)

@@ -72,3 +72,27 @@ def test_mixed_emits_the_copies(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
     nothing = df.withColumn("text", F.lit(None).cast("string"))
     assert mixing.mixed(nothing).count() == 0 and {r["target"] for r in mixing.sampled(nothing).collect()} == {0.0}
+
+
+def test_mixed_emits_the_copies_of_rows_that_share_an_id(spark):
+    """Null ids and repeated rows: as many copies of each (source, id, size) as decided,
+    equal ones numbered in turn."""
+    rows = [(None, cases.prose(i, 12), "en", "hot" if i % 4 else "b") for i in range(120)]
+    rows += [(None, cases.prose(999, 12), "en", "hot")] * 60 + [(7, "one two three", "en", "hot")] * 33 + [(8, "x y", "en", None)] * 5
+    df = cases.documents(spark, rows).withColumn("m", F.create_map(F.lit("a"), F.length("text")))
+    want: dict[tuple, int] = {}
+    for r in mixing._copies(mixing._rows(df, "doc_id", "source", "text")).collect():
+        key = r["source"], r["doc_id"], r["size"]
+        want[key] = want.get(key, 0) + r["copies"]
+    have: dict[tuple, int] = {}
+    per_row: dict[tuple, list] = {}
+    for r in mixing.mixed(df).collect():
+        key = r["source"], r["doc_id"], len(re.findall("[^\x20\x09-\x0d]+", r["text"]))
+        have[key] = have.get(key, 0) + 1
+        per_row.setdefault((r["source"], r["doc_id"], r["text"]), []).append(r["copy"])
+    assert have == {k: n for k, n in want.items() if n}
+    times: dict[tuple, int] = {}
+    for i, t, _, s in rows:
+        times[s, i, t] = times.get((s, i, t), 0) + 1
+    for k, copies in per_row.items():
+        assert sorted(copies) == [j // times[k] + 1 for j in range(len(copies))]
