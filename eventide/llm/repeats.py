@@ -53,6 +53,9 @@ HOT_FRAGMENTS = 4096
 SEPARATOR = 0xFF  # no byte of UTF-8
 POSITION_BITS = 28  # positions in a piece, below the hash in a sort key
 UNSET = -1
+#: ``at`` of a row holds its number of starts in so many bits below the start; a
+#: fragment has fewer starts than a string has bytes.
+COUNT = 1 << 20
 
 
 # ---------------------------------------------------------------- fragments
@@ -173,7 +176,7 @@ def firsts(*keys: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.nd
 
 
 #: Rows of the first pass: fragments (n > 0) with gram and content hash, and marked
-#: spans (n = 0), whose size stands for the content hash.  ``at`` = start * 256 + n;
+#: spans (n = 0), whose size stands for the content hash.  ``at`` = start * COUNT + n;
 #: ``sides`` = left * 2^32 + right.
 ROWS = "gram long, content long, doc long, at long, sides long"
 ROW_SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in ROWS.split(", ")])
@@ -185,7 +188,7 @@ def rows_of(*columns) -> pa.RecordBatch:
 
 def span_rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
     doc, start, size = merged_spans(doc, start, size)
-    return rows_of(spread(doc, start), size, doc, start * 256, np.zeros(len(doc), np.int64))
+    return rows_of(spread(doc, start), size, doc, start * COUNT, np.zeros(len(doc), np.int64))
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -209,7 +212,7 @@ def fragment_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa
             gram, content, doc, start, n, sides = (np.concatenate(x) for x in zip(*found, strict=True))
             order, new, later = firsts(gram, content, doc=doc, start=start)
             one = order[new]
-            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], start[one] * 256 + n[one], sides[one])
+            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], start[one] * COUNT + n[one], sides[one])
             late = order[later]
             yield span_rows(doc[late], start[late], n[late] + length - 1)
 
@@ -233,9 +236,9 @@ def shard_rows(batches: Iterable[pa.RecordBatch], length: int, hot: int) -> Iter
     set; n < 0 where the gram is hot)."""
     whole = pa.Table.from_batches(batches, ROW_SCHEMA)
     gram, content, doc, at, sides = (whole.column(i).to_numpy() for i in range(5))
-    done = at % 256 == 0
-    spans = [(doc[done], at[done] // 256, content[done])]
-    gram, content, doc, start, n, sides = (x[~done] for x in (gram, content, doc, at // 256, at % 256, sides))
+    done = at % COUNT == 0
+    spans = [(doc[done], at[done] // COUNT, content[done])]
+    gram, content, doc, start, n, sides = (x[~done] for x in (gram, content, doc, at // COUNT, at % COUNT, sides))
     order, new, later = firsts(gram, content, doc=doc, start=start)
     late, one = order[later], order[new]
     spans.append((doc[late], start[late], n[late] + length - 1))
@@ -318,7 +321,7 @@ def prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     back = np.empty(n, np.int64)  # place of the rotation that starts one byte earlier
     back[by_byte] = np.arange(n)
     head = text[order]
-    common = np.full(n + 1, UNSET, np.int16)
+    common = np.full(n + 1, UNSET, np.int16 if length < 1 << 15 else np.int32)
     common[0] = common[n] = 0
     lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for value in range(length):
@@ -390,6 +393,8 @@ def repeated_spans(df: DataFrame, row_id: str, text: str, length: int = LENGTH,
     array of start * 2^32 + size; they may overlap."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} at least")
+    if length >= COUNT:
+        raise ValueError(f"length must be below {COUNT}")
     spark = df.sparkSession
     told = df.select(ref(row_id).cast("long").alias("id"), ref(text).alias("text")).mapInArrow(lambda b: fragment_rows(b, length), ROWS)
     folder = f"{shared_folder(spark)}/repeats-{uuid.uuid4().hex}"

@@ -109,6 +109,22 @@ def brute_repeats(rows, length):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("length", [279, 280, 300, 600])
+def test_repeats_of_long_strings(spark, length):
+    """Fragments of more than 255 starts: the gram of smallest hash in the middle of a
+    passage is that of all strings around it."""
+    rnd, rows = random.Random(length), []
+    shared = [cases.prose(i, 400) for i in range(4)]
+    for i in range(40):
+        x = rnd.choice(shared)
+        at = rnd.randrange(len(x) // 2)
+        rows.append((i, cases.prose(100 + i, rnd.randint(1, 60)) + x[at:at + rnd.randint(length - 5, 3 * length)] + cases.prose(200 + i, 30), "en", "a"))
+    got = repeats.repeat_report(cases.documents(spark, rows), length=length).collect()
+    assert sorted(map(tuple, got), key=str) == brute_repeats(rows, length)
+    with pytest.raises(ValueError, match="length must be below"):
+        repeats.repeated_spans(cases.documents(spark, rows), "doc_id", "text", 1 << 20)
+
+
 @pytest.mark.parametrize("hot", [0, repeats.HOT_FRAGMENTS])
 def test_repeats_against_brute_force(spark, hot, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 3000)
