@@ -39,7 +39,7 @@ REPEAT = BUCKETS  # the row of a word that repeats the one before it
 #: Passes over the examples: enough to see STEPS of them, and EPOCHS at least.
 EPOCHS, STEPS, RATE, BATCH, SEED = 6, 18_000, 20.0, 32, 13
 THRESHOLD = 0.3
-#: Words that a task remembers, and the longest word that has n-grams.
+#: Words that a task remembers, and the longest of them.
 CACHE_WORDS, WORD_CHARS = 300_000, 40
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 
@@ -55,12 +55,10 @@ def held_out(row_id: Column) -> Column:
 
 def word_features(word: str) -> list[int]:
     """Rows of a word: its own and those of its character n-grams with the edges
-    marked.  Of a word of more than WORD_CHARS characters only the word itself."""
+    marked, however long it is."""
     digest, marked = xxhash.xxh32_intdigest, f"<{word}>"
-    found = [digest(marked) % BUCKETS]
-    if len(word) <= WORD_CHARS:
-        found += [digest(marked[i:i + n], n) % BUCKETS for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return found
+    return [digest(marked) % BUCKETS,
+            *[digest(marked[i:i + n], n) % BUCKETS for n in NGRAMS for i in range(len(marked) - n + 1)]]
 
 
 def text_features(text: str | None) -> dict[int, int]:

@@ -144,6 +144,12 @@ def test_score_is_the_mean_of_the_features():
         assert abs(classifier.Scorer(model).score(t) - 1 / (1 + 2.718281828459045 ** -(mean + 0.25))) < 1e-6
 
 
+@pytest.mark.parametrize("word", ["x", "word", "a" * 40, "a" * 41, "漢字" * 500])
+def test_words_of_any_length_have_ngrams(word):
+    n = len(word) + 2
+    assert len(classifier.word_features(word)) == 1 + sum(n - k + 1 for k in classifier.NGRAMS if n >= k)
+
+
 @pytest.mark.parametrize("build", [
     lambda d: tokens.token_counts(d, public_tokenizers.path("word_bpe_49k.json")), quality.judged, quality.keep_good, licences.licence_scan])
 def test_empty_tables(spark, build):
