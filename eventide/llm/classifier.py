@@ -7,9 +7,10 @@ is trained here with numpy, by stochastic gradient descent with a falling rate
 over a bounded sample of labelled documents.
 
 The sample has the ``TRAIN_ROWS`` labelled rows of smallest id hash outside the
-held-out fold (crc32 of the id as text, modulo 5, is 0); their ids, of that
-proven number, are broadcast to pick the texts in one pass, and the driver gets
-counted features, never texts.  Scoring is one pass without a shuffle: as the
+held-out fold (crc32 of the id as text, modulo 5, is 0), of equal ids those of
+smallest text hash; their ids, of that proven number, are broadcast to pick the
+rows, the rows' hashes to pick the texts, and the driver gets counted features of
+at most that many rows, never texts.  Scoring is one pass without a shuffle: as the
 model is linear behind the mean, a word's vectors shrink to one number per label
 difference and a count, which a task remembers per word.
 """
@@ -130,13 +131,21 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = SEED)
 
 def training_rows(docs: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, rows: int) -> DataFrame:
     """(y, features, counts) of the sample; an id with several labels counts by the
-    smallest, a null label not at all; of rows that share an id each is an example."""
-    own = fresh(docs.columns, "id")
+    smallest, a null label not at all; of rows that share an id each is an example,
+    up to ``rows`` examples in all."""
+    own, digest = fresh(docs.columns, "id"), fresh(docs.columns, "hash")
     known = labels.select(ref(row_id).alias(own), ref(label).cast("int").alias("y")).where(
         ~held_out(F.col(own)) & F.col("y").isin(0, 1))
     known = known.groupBy(own).agg(F.min("y").alias("y"))
     known = known.orderBy(F.xxhash64(own), own).limit(rows)  # top k by hash: a few rows per task meet
-    sample = docs.select(ref(row_id).alias(own), ref(text).alias("text")).join(F.broadcast(known), own)
+    texts = docs.select(ref(row_id).alias(own), ref(text).alias("text"))
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    chosen = texts.join(F.broadcast(known), own).select(own, "y", hashed.alias(digest))
+    chosen = chosen.orderBy(F.xxhash64(own), own, digest).limit(rows).groupBy(own, digest).agg(F.min("y").alias("y"), F.count("*").alias("times"))
+    sample = texts.withColumn(digest, hashed).join(F.broadcast(chosen), [own, digest])
+    # equal rows collapse by partial aggregation; each is an example as often as chosen
+    sample = sample.groupBy(own, digest, "y", "times").agg(F.first("text").alias("text"))
+    sample = sample.select(own, "y", "text", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("time")).drop("time")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -135,6 +135,22 @@ def test_classifier_edge_cases(spark):
     assert classifier.scored(docs.limit(0), none).count() == 0
 
 
+def test_examples_are_bounded_with_one_hot_id(spark):
+    """A sampled id on many rows, of different and of equal texts: no more examples
+    than rows, each one of the table's."""
+    texts = [(1, f"text {i} of the hot id") for i in range(200)] + [(2, "same words")] * 50 + [(i, f"doc {i}") for i in range(3, 30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, quality int")
+    known = {i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5}
+    every = sorted((i, len(classifier.text_features(t))) for i, t in texts if i in known)
+    for rows in (10, 100, 10000):
+        got = classifier.training_rows(docs, labels, "doc_id", "text", "quality", rows).collect()
+        assert len(got) <= rows and {r["id"] for r in got} <= known and all(r["y"] == r["id"] % 2 for r in got)
+        again = classifier.training_rows(docs.repartition(7), labels, "doc_id", "text", "quality", rows).collect()
+        assert sorted(got) == sorted(again)
+    assert sorted((r["id"], len(r["rows"]) // 4) for r in got) == every
+
+
 def test_score_is_the_mean_of_the_features():
     rnd = __import__("numpy").random.default_rng(1)
     model = classifier.Model(rnd.normal(size=classifier.BUCKETS + 1).astype("float32"), 0.25)
