@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import classifier, decontam, html_text, licences, mixing, quality, repeats, simhash, tokens, urls
+from eventide.llm import (
+    classifier, decontam, html_text, licences, mixing, negatives, pii, quality, repeats, simhash, tokens, urls, whitening,
+)
 from eventide.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -83,6 +85,26 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), name="spans")
+    base = pii.of_kinds(F.col("spans"), pii.BASE)
+    return found.select(
+        "doc_id", *[F.size(pii.of_kinds(F.col("spans"), (k,))).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = negatives.hard_negatives(rows.withColumn("label", label), scale=256, every=100, n_positives=5, n_negatives=10, low=30, high=90)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=1024, shift=100_000, components=8)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +116,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_pii": op11_pii,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 #: The verdict does not depend on the order of the rules, so SQL needs none.
@@ -206,9 +231,32 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+#: Every anchor against every row; inner products of integers this small are exact.
+OP12_SQL = """
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.rid <> b.rid),
+p AS (
+  SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE label = own QUALIFY place <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.rid = p.rid AND s.label <> s.own
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
     "op3_url_filters": OP3_SQL,
     "op5_license_scans": OP5_SQL,
     "op8_mixing": OP8_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
