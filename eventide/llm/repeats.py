@@ -1,7 +1,8 @@
 """Repeated-substring removal with Burrows-Wheeler transforms of shards.
 
 A byte goes if a string of ``length`` bytes that covers it also starts earlier
-(in a document with a smaller id, or earlier in its own).
+(in a document with a smaller id, or earlier in its own).  Rows that share an id are
+told apart by a hash of their texts, their *version*.
 
 1. *Fragments* (one pass).  Every string of ``length`` bytes belongs to the shard
    of its smallest k-byte gram (by a hash, the leftmost of equals), so equal
@@ -23,10 +24,15 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier
    marked.
 4. *Cut.*  The marked spans meet the texts by id.
 
+A very common line shorter than a string gives its gram a fragment for each of its
+surroundings.  Such *hot* grams are found beforehand, from the fragments of a hash
+sample of texts; their fragments are dealt as single strings, by two hashes of the
+whole string, and meet like other fragments of equal content, so no shard grows with
+the line.  The sample only says how strings are dealt, not which of them are equal.
+
 Texts are shuffled once (both joins use the same exchange), with 20-odd bytes for
-each 40 bytes of text for the fragments.  A gram with more than ``HOT_FRAGMENTS``
-different fragments is dealt by its single strings instead, collapsed before the
-shuffle, so that no shard grows with a very common line.
+each 40 bytes of text for the fragments.  Tasks read their shards as a stream sorted by
+gram and hold a bounded number of rows and one gram's fragments at a time.
 """
 
 from __future__ import annotations
@@ -39,9 +45,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 from eventide.llm.common import fresh, ref, shared_folder
 
@@ -49,7 +55,12 @@ LENGTH = 100
 GRAM = 24
 #: Bytes handled at once in a pass over texts, and in one transform.
 PIECE, TRANSFORM = 2 << 20, 1 << 18
-HOT_FRAGMENTS = 4096
+#: A gram is hot if it has over HOT_FRAGMENTS different fragments, or one of HOT_PARTS
+#: parts of all if that is more, as far as one of SAMPLE texts tell: so at most HOT_PARTS
+#: grams are hot, and the list is small enough to be broadcast.
+HOT_FRAGMENTS, HOT_PARTS, SAMPLE = 1024, 1 << 20, 64
+#: Rows of whole grams that a task looks at together.
+CHUNK = 1 << 18
 SEPARATOR = 0xFF  # no byte of UTF-8
 POSITION_BITS = 28  # positions in a piece, below the hash in a sort key
 UNSET = -1
@@ -60,9 +71,11 @@ COUNT = 1 << 20
 
 # ---------------------------------------------------------------- fragments
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+
+def gram_hashes(data: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
     """64-bit hash of the ``size`` bytes from each position (polynomial, mixed)."""
-    base = 0x9E3779B97F4A7C15
     h = np.zeros(len(data) - size + 1, np.uint64)
     power, have, block = base, 0, (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     with np.errstate(over="ignore"):
@@ -140,20 +153,20 @@ def pieces(ids: list, texts: list[bytes], length: int) -> Iterator[tuple[list, l
         yield group
 
 
-def merged_spans(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Union of the byte spans of each document."""
+def merged_spans(doc: np.ndarray, ver: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Union of the byte spans of each version of a document."""
     if not len(doc):
-        return doc, start, size
-    o = np.lexsort((start, doc))
-    doc, start, end = doc[o], start[o], (start + size)[o]
-    # running maximum of the ends within a document: shift documents apart
-    place = np.cumsum(np.append(0, np.diff(doc) != 0)) * (int(end.max()) + 1)
+        return doc, ver, start, size
+    o = np.lexsort((start, ver, doc))
+    doc, ver, start, end = doc[o], ver[o], start[o], (start + size)[o]
+    # running maximum of the ends within a version: shift versions apart
+    place = np.cumsum(np.append(0, (np.diff(doc) != 0) | (np.diff(ver) != 0))) * (int(end.max()) + 1)
     reach = np.maximum.accumulate(end + place)
     new = np.ones(len(doc), bool)
     new[1:] = (start + place)[1:] > reach[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc)) - 1
-    return doc[first], start[first], (reach - place)[last] - start[first]
+    return doc[first], ver[first], start[first], (reach - place)[last] - start[first]
 
 
 def spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -162,23 +175,25 @@ def spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
         return (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ start.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
 
-def firsts(*keys: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by keys, then place; which rows of that order begin a group of equal
-    keys; and which are at a later place than their group's first."""
-    order = np.lexsort((start, doc, *reversed(keys)))
+def firsts(*keys: np.ndarray, doc: np.ndarray, ver: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows to keep of each group of equal keys (one for each version at the group's
+    first place), and the rows at a later place."""
+    order = np.lexsort((ver, start, doc, *reversed(keys)))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0)) if len(order) else order
-    d, s = doc[order], start[order]
-    return order, new, (d != d[head]) | (s != s[head])
+    d, v, s = doc[order], ver[order], start[order]
+    later = (d != d[head]) | (s != s[head])
+    new[1:] |= v[1:] != v[:-1]
+    return order[new & ~later], order[later]
 
 
 #: Rows of the first pass: fragments (n > 0) with gram and content hash, and marked
 #: spans (n = 0), whose size stands for the content hash.  ``at`` = start * COUNT + n;
-#: ``sides`` = left * 2^32 + right.
-ROWS = "gram long, content long, doc long, at long, sides long"
+#: ``sides`` = left * 2^32 + right, 0 for single strings, which match by their hashes only.
+ROWS = "gram long, content long, doc long, ver long, at long, sides long"
 ROW_SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in ROWS.split(", ")])
 
 
@@ -186,35 +201,63 @@ def rows_of(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], schema=ROW_SCHEMA)
 
 
-def span_rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-    doc, start, size = merged_spans(doc, start, size)
-    return rows_of(spread(doc, start), size, doc, start * COUNT, np.zeros(len(doc), np.int64))
+def span_rows(doc: np.ndarray, ver: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    doc, ver, start, size = merged_spans(doc, ver, start, size)
+    return rows_of(spread(doc, start), size, doc, ver, start * COUNT, np.zeros(len(doc), np.int64))
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def fragment_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values the sorted array ``known`` holds."""
+    at = np.searchsorted(known, values)
+    return known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+
+
+def singles(data: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(start, two hashes) of each string of the fragments."""
+    start = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+    return start, gram_hashes(data, length)[start], gram_hashes(data, length, OTHER_BASE)[start]
+
+
+def fragment_rows(batches: Iterable[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Fragments of (id, version, text), those of the hot grams (sorted) as single strings."""
     for batch in batches:
         known = batch.filter(batch.column(0).is_valid())
         found: list[tuple[np.ndarray, ...]] = []
-        for ids, offsets, texts in pieces(known.column(0).to_pylist(), as_bytes(known.column(1)), length):
+        numbers = np.arange(known.num_rows)
+        ids, versions = (known.column(i).to_numpy() for i in range(2))
+        for own, offsets, texts in pieces(numbers.tolist(), as_bytes(known.column(2)), length):
             joined = b"".join(texts)
-            ends = np.cumsum([len(t) for t in texts])
-            first, n, gram, sides = fragments(np.frombuffer(joined, np.uint8), ends, length)
-            text = np.searchsorted(ends, first, side="right")
+            data, ends = np.frombuffer(joined, np.uint8), np.cumsum([len(t) for t in texts])
+            first, n, gram, sides = fragments(data, ends, length)
+            common = is_in(gram, hot)
+            loose = singles(data, first[common], n[common], length) if common.any() else None
+            first, n, gram, sides = (x[~common] for x in (first, n, gram, sides))
             view, digest = memoryview(joined), xxhash.xxh3_64_intdigest
             content = np.array([digest(view[s:e]) for s, e in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], np.uint64)
+            if loose:
+                at, one, other = loose
+                first, gram, content = np.append(first, at), np.append(gram, one), np.append(content, other)
+                n, sides = np.append(n, np.ones(len(at), np.int64)), np.append(sides, np.zeros(len(at), np.int64))
+            text = np.searchsorted(ends, first, side="right")
             start = first - np.append(0, ends)[text] + np.array(offsets, np.int64)[text]
-            found.append((gram, content, np.array(ids, np.int64)[text], start, n, sides))
+            found.append((gram, content, np.array(own, np.int64)[text], start, n, sides))
         if found:
-            gram, content, doc, start, n, sides = (np.concatenate(x) for x in zip(*found, strict=True))
-            order, new, later = firsts(gram, content, doc=doc, start=start)
-            one = order[new]
-            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], start[one] * COUNT + n[one], sides[one])
-            late = order[later]
-            yield span_rows(doc[late], start[late], n[late] + length - 1)
+            gram, content, row, start, n, sides = (np.concatenate(x) for x in zip(*found, strict=True))
+            doc, ver = ids[row], versions[row]
+            one, late = firsts(gram, content, doc=doc, ver=ver, start=start)
+            yield rows_of(gram[one].view(np.int64), content[one].view(np.int64), doc[one], ver[one], start[one] * COUNT + n[one], sides[one])
+            yield span_rows(doc[late], ver[late], start[late], n[late] + length - 1)
+
+
+def gram_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """(gram, content) of the fragments, for the count of the sample."""
+    for rows in fragment_rows(batches, length, np.empty(0, np.uint64)):
+        own = rows.filter(pa.array(rows.column(4).to_numpy() % COUNT != 0))
+        yield pa.RecordBatch.from_arrays([own.column(0), own.column(1)], ["gram", "content"])
 
 
 def met_again(gram: np.ndarray, side: np.ndarray) -> np.ndarray:
@@ -228,67 +271,55 @@ def met_again(gram: np.ndarray, side: np.ndarray) -> np.ndarray:
     return out
 
 
-SPANS = "doc long, start long, size long, gram long, n int"
-
-
-def shard_rows(batches: Iterable[pa.RecordBatch], length: int, hot: int) -> Iterator[pa.RecordBatch]:
-    """Marked spans (size set), and the fragments whose bytes are needed (gram and n
-    set; n < 0 where the gram is hot)."""
-    whole = pa.Table.from_batches(batches, ROW_SCHEMA)
-    gram, content, doc, at, sides = (whole.column(i).to_numpy() for i in range(5))
-    done = at % COUNT == 0
-    spans = [(doc[done], at[done] // COUNT, content[done])]
-    gram, content, doc, start, n, sides = (x[~done] for x in (gram, content, doc, at // COUNT, at % COUNT, sides))
-    order, new, later = firsts(gram, content, doc=doc, start=start)
-    late, one = order[later], order[new]
-    spans.append((doc[late], start[late], n[late] + length - 1))
-    gram, sides = gram[one], sides[one]
-    wanted = met_again(gram, sides >> 32) | met_again(gram, sides & 0xFFFFFFFF)
-    doc, start, gram, n = doc[one][wanted], start[one][wanted], gram[wanted], n[one][wanted]
-    _, which, kinds = np.unique(gram, return_inverse=True, return_counts=True)
-    if len(gram):
-        n = np.where(kinds[which] > hot, -n, n)
-    names = ["doc", "start", "size", "gram", "n"]
-    marked = merged_spans(*(np.concatenate(x) for x in zip(*spans, strict=True)))
-    yield pa.RecordBatch.from_arrays([*map(pa.array, marked), pa.nulls(len(marked[0]), pa.int64()), pa.nulls(len(marked[0]), pa.int32())], names)
-    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.nulls(len(doc), pa.int64()), pa.array(gram), pa.array(n, pa.int32())], names)
-
-
-CUTS = "gram long, doc long, start long, bytes binary"
-CUT_SCHEMA = pa.schema([("gram", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
+def chunks(batches: Iterable[pa.RecordBatch], schema: pa.Schema, rows: int) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows, none of which ends within a gram, of batches sorted by
+    gram."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            gram = batch.column(0).to_numpy(zero_copy_only=False)
+            cut = int(np.searchsorted(gram, gram[-1])) if len(gram) else 0
+            if cut:  # the batch's last gram may go on
+                yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut)], schema)
+                held = [batch.slice(cut)]
+    yield pa.Table.from_batches(held, schema)
+
+
+SPANS = "doc long, ver long, start long, size long, gram long, n int"
+
+
+def shard_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Marked spans (size set), and the fragments whose bytes are needed (gram and n set)."""
+    for whole in chunks(batches, ROW_SCHEMA, CHUNK):
+        gram, content, doc, ver, at, sides = (whole.column(i).to_numpy() for i in range(6))
+        done = at % COUNT == 0
+        spans = [(doc[done], ver[done], at[done] // COUNT, content[done])]
+        gram, content, doc, ver, start, n, sides = (x[~done] for x in (gram, content, doc, ver, at // COUNT, at % COUNT, sides))
+        one, late = firsts(gram, content, doc=doc, ver=ver, start=start)
+        spans.append((doc[late], ver[late], start[late], n[late] + length - 1))
+        gram, sides = gram[one], sides[one]
+        wanted = met_again(gram, sides >> 32) | met_again(gram, sides & 0xFFFFFFFF)
+        doc, ver, start, gram, n = doc[one][wanted], ver[one][wanted], start[one][wanted], gram[wanted], n[one][wanted]
+        names = ["doc", "ver", "start", "size", "gram", "n"]
+        marked = merged_spans(*(np.concatenate(x) for x in zip(*spans, strict=True)))
+        k = len(marked[0])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, marked), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (doc, ver, start)), pa.nulls(len(doc), pa.int64()), pa.array(gram), pa.array(n, pa.int32())], names)
+
+
+CUTS = "gram long, doc long, ver long, start long, bytes binary"
+CUT_SCHEMA = pa.schema([*[(c, pa.int64()) for c in ("gram", "doc", "ver", "start")], ("bytes", pa.binary())])
 
 
 def cut_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted fragments of each document (columns id, text, wanted);
-    single strings, each content once per batch, where the gram is hot."""
+    """The bytes of the wanted fragments of each text (columns id, version, text, wanted)."""
     for batch in batches:
-        wanted = batch.column(2)
-        has = batch.filter(wanted.is_valid())
-        gram, doc, start, cut = [], [], [], []
-        singles: dict[bytes, tuple[int, int]] = {}
-        for i, t, own in zip(has.column(0).to_pylist(), as_bytes(has.column(1)), has.column(2), strict=True):
-            for f in own.as_py():
-                s, n = f["start"], f["n"]
-                if n > 0:
-                    gram.append(f["gram"])
-                    doc.append(i)
-                    start.append(s)
-                    cut.append(t[s:s + n + length - 1])
-                for s in range(s, s - n):
-                    x, place = t[s:s + length], (i, s)
-                    first = singles.setdefault(x, place)
-                    if first != place:
-                        singles[x], late = min(first, place), max(first, place)
-                        gram.append(None)  # a string with an earlier one: no bytes, marked
-                        doc.append(late[0])
-                        start.append(late[1])
-                        cut.append(None)
-        for x, (i, s) in singles.items():
-            gram.append(xxhash.xxh3_64_intdigest(x) - (1 << 63))
-            doc.append(i)
-            start.append(s)
-            cut.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((gram, doc, start, cut), CUT_SCHEMA.types, strict=True)], schema=CUT_SCHEMA)
+        has = batch.filter(batch.column(3).is_valid())
+        rows = [(f["gram"], i, v, f["start"], t[f["start"]:f["start"] + f["n"] + length - 1])
+                for i, v, t, own in zip(has.column(0).to_pylist(), has.column(1).to_pylist(), as_bytes(has.column(2)), has.column(3), strict=True)
+                for f in own.as_py()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(CUT_SCHEMA.types)], schema=CUT_SCHEMA)
 
 
 # ---------------------------------------------------------------- transform
@@ -350,8 +381,8 @@ def prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     return common[:n]
 
 
-def later_strings(doc: np.ndarray, start: np.ndarray, cut: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(doc, start) of the strings of the fragments that occur at an earlier place in
+def later_strings(doc: np.ndarray, ver: np.ndarray, start: np.ndarray, cut: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """(doc, ver, start) of the strings of the fragments that occur at an earlier place in
     these fragments."""
     text = np.frombuffer(bytes([SEPARATOR]).join([*cut, b""]), np.uint8)
     order = sorted_rotations(text, length)
@@ -363,59 +394,85 @@ def later_strings(doc: np.ndarray, start: np.ndarray, cut: list[bytes], length:
     ok = inside + length <= sizes[own]
     group, own, inside = group[ok], own[ok], inside[ok]
     place = start[own] + inside
-    o, _, later = firsts(group, doc=doc[own], start=place)
-    return doc[own][o[later]], place[o[later]]
+    _, late = firsts(group, doc=doc[own], ver=ver[own], start=place)
+    return doc[own][late], ver[own][late], place[late]
 
 
 def repeat_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Marked spans of a partition's shards; transforms take whole shards, of about
-    TRANSFORM bytes together."""
-    whole = pa.Table.from_batches(batches, CUT_SCHEMA)
-    marked = [tuple(whole.filter(whole.column("gram").is_null()).column(c).to_numpy() for c in ("doc", "start"))]
-    whole = whole.filter(whole.column("gram").is_valid()).sort_by("gram")
-    gram, doc, start = (whole.column(c).to_numpy() for c in ("gram", "doc", "start"))
-    cut = whole.column("bytes").to_pylist()
-    ends = np.flatnonzero(np.append(np.diff(gram) != 0, True)) + 1 if len(gram) else gram
-    at, held, s = 0, np.cumsum([0, *map(len, cut)]), 0
-    for k, e in enumerate(ends.tolist()):
-        if k + 1 == len(ends) or held[ends[k + 1]] - held[s] > TRANSFORM:
-            marked.append(later_strings(doc[s:e], start[s:e], cut[s:e], length))
-            s = e
-    doc, start = (np.concatenate(x) for x in zip(*marked, strict=True))
-    doc, start, size = merged_spans(doc, start, np.full(len(doc), length))
-    yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(size, pa.int64())], ["doc", "start", "size"])
+    """Marked spans of a partition's shards, which come sorted by gram; transforms take
+    whole shards, of about TRANSFORM bytes together."""
+    for whole in chunks(batches, CUT_SCHEMA, TRANSFORM // length):
+        gram, doc, ver, start = (whole.column(c).to_numpy() for c in ("gram", "doc", "ver", "start"))
+        cut = whole.column("bytes").to_pylist()
+        ends = np.flatnonzero(np.append(np.diff(gram) != 0, True)) + 1 if len(gram) else gram
+        held, s = np.cumsum([0, *map(len, cut)]), 0
+        for k, e in enumerate(ends.tolist()):
+            if k + 1 == len(ends) or held[ends[k + 1]] - held[s] > TRANSFORM:
+                d, v, at = later_strings(doc[s:e], ver[s:e], start[s:e], cut[s:e], length)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged_spans(d, v, at, np.full(len(d), length))],
+                                                 ["doc", "ver", "start", "size"])
+                s = e
 
 
 # ---------------------------------------------------------------- operator
 
+def versioned(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """(id, ver, text) of the rows: ids are integers, and a text's hash tells rows apart
+    that share an id."""
+    if not isinstance(df.schema[row_id].dataType, IntegralType):
+        raise TypeError(f"{row_id} must be an integer column")
+    return df.select(ref(row_id).cast("long").alias("id"), version(text).alias("ver"), ref(text).alias("text"))
+
+
+def version(text: str) -> Column:
+    return F.xxhash64(F.coalesce(ref(text), F.lit("")))
+
+
+def hot_grams(rows: DataFrame, length: int, hot: int) -> np.ndarray:
+    """Hashes of the hot grams, sorted."""
+    grams = rows.where(F.pmod(F.xxhash64("id", "ver"), F.lit(SAMPLE)) == 0).mapInArrow(lambda b: gram_rows(b, length), "gram long, content long")
+    kinds = grams.distinct().groupBy("gram").count()
+    most = kinds.select(F.struct("count", "gram").alias("c")).groupBy().agg(
+        F.sum("c.count").alias("all"), F.max("c.count").alias("most")).first()
+    least = max(hot / SAMPLE, (most["all"] or 0) / HOT_PARTS)
+    if not most["most"] or most["most"] <= least:
+        return np.empty(0, np.uint64)
+    found = kinds.where(F.col("count") > least).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    return np.sort(found.view(np.uint64))
+
+
 def repeated_spans(df: DataFrame, row_id: str, text: str, length: int = LENGTH, hot: int = HOT_FRAGMENTS) -> DataFrame:
-    """(doc, spans): the byte spans to remove of each document that has any, as an
-    array of start * 2^32 + size; they may overlap."""
+    """(doc, ver, spans): the byte spans to remove of each version of a document that has
+    any, as an array of start * 2^32 + size; they may overlap."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} at least")
     if length >= COUNT:
         raise ValueError(f"length must be below {COUNT}")
     spark = df.sparkSession
-    told = df.select(ref(row_id).cast("long").alias("id"), ref(text).alias("text")).mapInArrow(lambda b: fragment_rows(b, length), ROWS)
+    rows = versioned(df, row_id, text)
+    common = spark.sparkContext.broadcast(hot_grams(rows, length, hot))
+    told = rows.mapInArrow(lambda b: fragment_rows(b, length, common.value), ROWS)
     folder = f"{shared_folder(spark)}/repeats-{uuid.uuid4().hex}"
-    told.repartition("gram").mapInArrow(lambda b: shard_rows(b, length, hot), SPANS).write.parquet(folder)
+    told.repartition("gram").sortWithinPartitions("gram").mapInArrow(lambda b: shard_rows(b, length), SPANS).write.parquet(folder)
     spans = spark.read.parquet(folder)
-    wanted = spans.where("n IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "n")).alias("wanted"))
-    cuts = joined(df, row_id, wanted, "wanted", lambda d, c: d.select(ref(row_id).cast("long").alias("id"), ref(text).alias("text"), ref(c).alias("wanted"))
-                  .mapInArrow(lambda b: cut_rows(b, length), CUTS))
-    dealt = cuts.repartition(F.coalesce("gram", F.xxhash64("doc", "start")))
-    more = dealt.mapInArrow(lambda b: repeat_rows(b, length), "doc long, start long, size long")
-    every = spans.where("size IS NOT NULL").select("doc", "start", "size").unionByName(more)
+    wanted = spans.where("n IS NOT NULL").groupBy("doc", "ver").agg(F.collect_list(F.struct("gram", "start", "n")).alias("wanted"))
+    cuts = joined(df, row_id, text, wanted, "wanted", lambda d, c: d.select(
+        ref(row_id).cast("long").alias("id"), version(text).alias("ver"), ref(text).alias("text"), ref(c).alias("wanted"))
+        .mapInArrow(lambda b: cut_rows(b, length), CUTS))
+    dealt = cuts.repartition("gram").sortWithinPartitions("gram")
+    more = dealt.mapInArrow(lambda b: repeat_rows(b, length), "doc long, ver long, start long, size long")
+    every = spans.where("size IS NOT NULL").select("doc", "ver", "start", "size").unionByName(more)
     packed = F.shiftleft("start", 32) + F.col("size")
-    return every.groupBy("doc").agg(F.collect_list(packed).alias("spans"))
+    return every.groupBy("doc", "ver").agg(F.collect_list(packed).alias("spans"))
 
 
-def joined(df: DataFrame, row_id: str, lists: DataFrame, name: str, then) -> DataFrame:
-    """``then`` of ``df`` with the list of each row's id (null without one); the texts
-    are not sorted for it, the lists are the hashed side."""
-    own, column = fresh(df.columns, "doc"), fresh(df.columns, name)
-    right = lists.select(F.col("doc").alias(own), F.col(name).alias(column)).hint("shuffle_hash")
-    return then(df.join(right, ref(row_id).cast("long") == F.col(own), "left").drop(own), column)
+def joined(df: DataFrame, row_id: str, text: str, lists: DataFrame, name: str, then) -> DataFrame:
+    """``then`` of ``df`` with the list of each row's id and version (null without one); the
+    texts are not sorted for it, the lists are the hashed side."""
+    own, ver, column = (fresh(df.columns, n) for n in ("doc", "ver", name))
+    right = lists.select(F.col("doc").alias(own), F.col("ver").alias(ver), F.col(name).alias(column)).hint("shuffle_hash")
+    same = (ref(row_id).cast("long") == F.col(own)) & (version(text) == F.col(ver))
+    return then(df.join(right, same, "left").drop(own, ver), column)
 
 
 def kept_mask(n: int, spans: np.ndarray | None) -> np.ndarray:
@@ -439,10 +496,11 @@ def repeat_report(df: DataFrame, row_id: str = "doc_id", text: str = "text", len
     """Per row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and
     ``kept_sha256`` of the bytes that stay.
 
-    A null text is empty.  Rows without an id are neither searched nor cut.  Rows
-    that share an id count as versions of one document: a string at the same
-    place isn't earlier, and what one of them loses the others lose too.  Texts
-    shorter than ``length`` stay whole.  An empty table gives an empty result.
+    Ids are integers.  A null text is empty.  Rows without an id are neither searched nor
+    cut.  Rows that share an id are versions of one document: a string that stands in
+    another of them at the same place isn't earlier, one before it is; each loses its
+    own repeats only, and equal rows lose the same.  Texts shorter than ``length`` stay
+    whole.  An empty table gives an empty result.
     """
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     def told(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -453,7 +511,7 @@ def repeat_report(df: DataFrame, row_id: str = "doc_id", text: str = "text", len
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     found = repeated_spans(df, row_id, text, length)
-    return joined(df, row_id, found, "spans", lambda d, c: d.select(
+    return joined(df, row_id, text, found, "spans", lambda d, c: d.select(
         ref(row_id).alias("doc_id"), told(ref(text), ref(c)).alias("told")).select("doc_id", "told.*"))
 
 
@@ -468,7 +526,7 @@ def without_repeats(df: DataFrame, row_id: str = "doc_id", text: str = "text", l
                           for t, s in zip(texts, spans, strict=True)], dtype=object)
 
     found = repeated_spans(df, row_id, text, length)
-    out = joined(df, row_id, found, "spans", lambda d, c: d.withColumn(text, cut(ref(text), ref(c))).drop(c))
+    out = joined(df, row_id, text, found, "spans", lambda d, c: d.withColumn(text, cut(ref(text), ref(c))).drop(c))
     for name, kind in df.dtypes:
         if name == "n_chars" and kind in ("int", "bigint"):
             out = out.withColumn(name, F.length(ref(text)).cast(kind))

@@ -95,7 +95,7 @@ def brute_repeats(rows, length):
     first = {}
     for i, t in sorted(((i, (t or "").encode()) for i, t, *_ in rows if i is not None), key=lambda x: x[0]):
         for s in range(len(t) - length + 1):
-            first.setdefault(t[s:s + length], (i, s))
+            first[t[s:s + length]] = min(first.get(t[s:s + length], (i, s)), (i, s))
     out = []
     for i, t, *_ in rows:
         t = (t or "").encode()
@@ -125,10 +125,12 @@ def test_repeats_of_long_strings(spark, length):
         repeats.repeated_spans(cases.documents(spark, rows), "doc_id", "text", 1 << 20)
 
 
-@pytest.mark.parametrize("hot", [0, repeats.HOT_FRAGMENTS])
+@pytest.mark.parametrize("hot", [0, 3, repeats.HOT_FRAGMENTS])
 def test_repeats_against_brute_force(spark, hot, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 3000)
     monkeypatch.setattr(repeats, "TRANSFORM", 5000)
+    monkeypatch.setattr(repeats, "CHUNK", 200)
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
     whole = repeats.repeated_spans
     monkeypatch.setattr(repeats, "repeated_spans", lambda *a: whole(*a, hot=hot))
     rnd, rows = random.Random(6), list(cases.ROWS)
@@ -139,12 +141,38 @@ def test_repeats_against_brute_force(spark, hot, monkeypatch):
             b = rnd.choice(base)
             a = rnd.randint(0, len(b))
             parts.append(b[a:rnd.randint(a, len(b))] if rnd.random() < 0.6 else b)
-        rows.append((2000 - i, rnd.choice([" ", "", "-"]).join(parts), "en", "a"))
+        # every third id is shared by different texts
+        rows.append((2000 - (i if i % 3 else 3), rnd.choice([" ", "", "-"]).join(parts), "en", "a"))
     df = cases.documents(spark, rows, clashing=True)
     got = sorted((tuple(r) for r in repeats.repeat_report(df).collect()), key=str)
     assert got == brute_repeats(rows, repeats.LENGTH)
 
 
+def test_rows_that_share_an_id_keep_their_own_text(spark):
+    a, b = cases.prose(70, 40), cases.prose(71, 40)
+    df = cases.documents(spark, [(1, a, "en", "a"), (2, a, "en", "a"), (2, b, "en", "a"), (2, b, "en", "a")])
+    kept = sorted((r["doc_id"], r["text"]) for r in repeats.without_repeats(df).collect())
+    assert kept == sorted([(1, a), (2, ""), (2, b), (2, b)])
+    with pytest.raises(TypeError, match="integer"):
+        repeats.repeat_report(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_a_line_in_a_third_of_all_documents(spark):
+    """Its gram is hot: no task meets all of its fragments, and nothing else changes."""
+    line, rows = "this very line of some seventy bytes stands in very many documents", []
+    for i in range(20_000):
+        own = cases.prose(1000 + i, 24)
+        rows.append((i, f"{own}\n{line}\n{cases.prose(50_000 + i, 12)}" if i % 3 == 0 else own, "en", "a"))
+    rows.append((30_000, "x " + rows[0][1][40:] + " " + rows[3][1][:150], "en", "a"))
+    df = cases.documents(spark, rows)
+    found = repeats.hot_grams(repeats.versioned(df, "doc_id", "text"), repeats.LENGTH, repeats.HOT_FRAGMENTS)
+    assert 0 < len(found) < 200
+    shuffled = repeats.versioned(df, "doc_id", "text").mapInArrow(lambda b: repeats.fragment_rows(b, repeats.LENGTH, found), repeats.ROWS)
+    assert shuffled.where(F.col("at") % repeats.COUNT > 0).groupBy("gram").agg(F.count_distinct("content").alias("n")).agg(F.max("n")).first()[0] < 3000
+    got = sorted((tuple(r) for r in repeats.repeat_report(df).collect()), key=str)
+    assert got == brute_repeats(rows, repeats.LENGTH)
+
+
 def test_transform_finds_every_class_of_equal_strings():
     rnd = random.Random(3)
     for length in (24, 31, 64):
@@ -152,7 +180,7 @@ def test_transform_finds_every_class_of_equal_strings():
             cut = [bytes(rnd.choice(alphabet.encode()) for _ in range(rnd.randint(length, 3 * length))) for _ in range(12)]
             cut += [c[:length + 3] + b"zz" for c in cut[:5]]
             doc, start = np.arange(len(cut))[::-1].copy(), np.full(len(cut), 7)
-            got = sorted(zip(*(x.tolist() for x in repeats.later_strings(doc, start, cut, length)), strict=True))
+            got = sorted((d, s) for d, _, s in zip(*(x.tolist() for x in repeats.later_strings(doc, doc, start, cut, length)), strict=True))
             first, every = {}, []
             for d, c in sorted(zip(doc.tolist(), cut, strict=True)):
                 for s in range(len(c) - length + 1):
