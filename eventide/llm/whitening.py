@@ -36,8 +36,10 @@ COMPONENTS = 8
 #: Passes of the factorisation at most, and the departure of Q from orthonormal
 #: columns (times their number) at which they end.
 PASSES, ORTHONORMAL = 6, 1e-13
-#: An eigenvalue below this part of the largest one is zero to double precision.
-NO_VARIANCE = 1e-13
+#: A standard deviation below this part of the largest one is zero to double precision.
+NO_VARIANCE = 1e-12
+#: Largest first try of a shift, as a part of the matrix's norm.
+SHIFT = 1e-8
 #: Fixed-point entries lie within this bound; larger ones are taken as the bound.
 LARGEST = 1 << 48
 MATRIX_BYTES = 8 << 20
@@ -145,7 +147,7 @@ def factored(gram: np.ndarray, n: int, shifted: bool) -> np.ndarray:
             return np.linalg.cholesky(gram).T
         except np.linalg.LinAlgError:
             pass
-    rounding = min(1.0, 11 * (n * d + d * (d + 1)) * np.finfo(float).eps / 2)
+    rounding = min(SHIFT, 11 * (n * d + d * (d + 1)) * np.finfo(float).eps / 2)
     shift, size = rounding * np.linalg.norm(gram, 2), np.eye(d)
     while True:
         try:
@@ -187,7 +189,7 @@ def fit(df: DataFrame, vector: str, scale: float = 1.0, shift: int = 0, componen
     for factor in factors[1:]:
         r = factor @ r
     _, sizes, right = np.linalg.svd(r)
-    kept = int(min(components, np.count_nonzero(sizes ** 2 > NO_VARIANCE * sizes[0] ** 2)))
+    kept = int(min(components, np.count_nonzero(sizes > NO_VARIANCE * sizes[0])))
     return Whitening(fixed, centre, right[:kept].T.copy(), sizes[:kept] ** 2 / centre.n, sizes[:kept] ** 2 / trace)
 
 

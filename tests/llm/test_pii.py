@@ -1,0 +1,128 @@
+"""Personal data against plain patterns, planted spans, and in linear time."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+
+from pyspark.sql import functions as F
+
+from eventide.llm import pii, queries
+from tests.llm import cases
+
+#: The contract's patterns as they stand, backtracking and all.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def digits(s):
+    return [int(c) for c in s if c.isdigit()]
+
+
+def plain_luhn(d):
+    return sum(sum(divmod(2 * x, 10)) if i % 2 else x for i, x in enumerate(d[::-1])) % 10 == 0
+
+
+def fits(kind, s):
+    if kind == "ip":
+        return all(int(p) <= 255 for p in s.split("."))
+    if kind == "card":
+        return 12 <= len(digits(s)) <= 19 and plain_luhn(digits(s))
+    return kind != "phone" or 9 <= len(digits(s)) <= 15
+
+
+def brute_base(text):
+    found = [(k, *m.span()) for k, p in PLAIN.items() for m in re.finditer(p, text) if fits(k, m.group())]
+    return sorted(found, key=lambda x: (x[1], list(PLAIN).index(x[0])))
+
+
+def base_of(text):
+    return [(x.kind, x.start, x.end) for x in pii.spans_of(text) if x.kind in pii.BASE]
+
+
+def card(rnd, n):
+    d = [rnd.randrange(10) for _ in range(n - 1)]
+    return "".join(map(str, d)) + str(next(c for c in range(10) if plain_luhn([*d, c])))
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rnd = random.Random(1)
+    pieces = ["@", ".", "-", " ", "+", "a", "Z9", "1", "255", "256", "0", "(", ")", "x@y.z", "1.2.3.4", "+1 (234) 555-7777", "é", "\n", "007", "%", "_", "٣"]
+    for _ in range(6000):
+        t = "".join(rnd.choice(pieces) if rnd.random() < 0.9 else card(rnd, rnd.randint(12, 19)) for _ in range(rnd.randint(0, 25)))
+        assert base_of(t) == brute_base(t), t
+
+
+def test_checks():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
+    assert pii.is_ip("0.0.255.000255") and not pii.is_ip("1.2.3.256") and not pii.is_ip("1.2.3." + "9" * 5000)
+    assert pii.is_ssn("123-45-6789") and not pii.is_ssn("666-45-6789") and not pii.is_ssn("123-00-6789")
+
+
+def kinds(text):
+    return [(x.kind, text[x.start:x.end]) for x in pii.spans_of(text)]
+
+
+def test_context_adjusts_the_score_and_decides_the_added_kinds():
+    assert kinds("pay to IBAN GB82 WEST 1234 5698 7654 32 AND SO ON") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert kinds("GB82 WEST 1234 5698 7654 33 or GB00TEST") == []
+    number = "123-45-6789"
+    assert kinds(f"her ssn is {number}") == [("ssn", number)] and kinds(f"see {number} there") == []
+    assert kinds(f"ssn of order {number}") == []  # one word for it and one against
+    key = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    assert kinds(f'token = "{key}"') == [("secret", key)] and kinds(f"commit {key}") == [] and kinds(f"token {'a1' * 20}") == []
+    assert kinds("call (0171) 555 1234 now") == [("local_phone", "(0171) 555 1234")] and kinds("page 0171 555 1234") == []
+    plain, near = pii.spans_of("at 10.1.2.3")[0], pii.spans_of("server 10.1.2.3")[0]
+    against = pii.spans_of("version 10.1.2.3")[0]
+    assert against.score < plain.score < near.score  # base spans stay whatever their score
+
+
+def test_added_spans_give_way_to_base_spans():
+    text = "token abcdefgh1234.ijklmnopqrstuv@example.com"
+    assert kinds(text) == [("email", "abcdefgh1234.ijklmnopqrstuv@example.com")]
+    assert pii.apart(9, [], [pii.Span("ssn", 0, 4, 0.9), pii.Span("iban", 3, 6, 0.8), pii.Span("iban", 4, 6, 0.7)]) == [
+        pii.Span("ssn", 0, 4, 0.9), pii.Span("iban", 4, 6, 0.7)]
+
+
+def test_time_is_linear_in_the_text():
+    for part in ("x", "1", "1.", "a@", "@", "+1", "1 ", "A", "AB12", "A-", "1-", "a.b@c.", "012 ", "(12)"):
+        started = time.perf_counter()
+        pii.spans_of(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - started < 10, part
+
+
+def test_personal_data_on_awkward_rows(spark):
+    rows = [*cases.ROWS, (500, "mail a@b.co, 1.2.3.4", "en", "a"), (501, "mail a@b.co, 1.2.3.4", "en", "a"),
+            (502, "🙂 x@y.zz " + "word " * 400_000 + "+1 (222) 333-4444", "en", "a")]
+    df = cases.documents(spark, rows, clashing=True).withColumn("pii", F.lit("old"))
+    out = pii.personal_data(df)
+    assert out.columns == df.columns
+    got = {(r["doc_id"], r["text"]): [tuple(x)[:3] for x in r["pii"]] for r in out.collect()}
+    for i, t, *_ in rows:
+        assert [x for x in got[i, t] if x[0] in pii.BASE] == brute_base(t or ""), i
+    assert pii.personal_data(df.limit(0)).count() == 0
+
+
+def test_redacted(spark):
+    df = cases.documents(spark, [(1, "to a@b.co or 1.2.3.4!", "en", "a"), (2, None, "en", "a"), (3, "", "en", "a")])
+    assert {r["doc_id"]: r["text"] for r in pii.redacted(df).collect()} == {1: "to [email] or [ip]!", 2: None, 3: ""}
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op11_pii(spark, sf).collect()
+    assert len(rows) == len(texts) and sum(r["n_email"] for r in rows) > 0 and sum(r["n_card"] for r in rows) > 0
+    for r in rows:
+        base = brute_base(texts[r["doc_id"]])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in PLAIN] == [sum(x[0] == k for x in base) for k in PLAIN]
+        assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
