@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.exprs import join_ids
-from eventide.operators.scan import DEFAULT_WIDTH, forward_fill, last_n, running, running_sums
+from eventide.operators.scan import DEFAULT_WIDTH, last_n, last_n_of_types, running, running_sums
 
 
 def running_sum_by_key(df: DataFrame, order: str, keys: Sequence[str], value: Column,
@@ -63,21 +63,10 @@ def last_n_per_type(df: DataFrame, order: str, keys: Sequence[str], type_col: st
 
     ``types`` maps event type -> output column.  For each type the list is the
     last ``n`` values of the key's events of that type up to this row; null
-    while the type is unseen.  Built as last-n per (key, type), then carried
-    forward along the key (``forward_fill``): two linear scans.
+    while the type is unseen.  One scan (``scan.last_n_of_types``).
     """
-    keys = list(keys)
-    tmp = last_n(df, order, n, F.col(value), "_ln", keys=[*keys, type_col], width=width,
-                 nullable=value != order)
-    for t, col_name in types.items():
-        tmp = tmp.withColumn(f"_ln_{col_name}", F.when(F.col(type_col) == t, F.col("_ln")))
-    tmp = tmp.drop("_ln")
-    fills = {c: F.col(f"_ln_{c}") for c in types.values()}
-    out = forward_fill(tmp, order, fills, keys=keys, width=width).drop(*[f"_ln_{c}" for c in types.values()])
-    if as_text:
-        for col_name in types.values():
-            out = out.withColumn(col_name, join_ids(F.col(col_name)))
-    return out
+    out = last_n_of_types(df, order, n, F.col(value), type_col, types, keys=list(keys), width=width)
+    return out.withColumns({c: join_ids(F.col(c)) for c in types.values()}) if as_text else out
 
 
 def history_pages(df: DataFrame, order: str, keys: Sequence[str], value: str,

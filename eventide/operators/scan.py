@@ -13,8 +13,11 @@ is, however the order values are spread, and with one outlier or a burst:
 1. bounds       a statistics job over (keys, order): one row in
                 ``width / SAMPLES`` (by hash), ranked within its key; every
                 ``SAMPLES``-th is a bound.  About rows / width bounds in all
-                reach the driver and are broadcast with their keys; the width
-                grows with the rows, so these are at most about ``MAX_BUCKETS``
+                reach the driver and are broadcast with their keys.  A width
+                below the default is widened towards it, so that there are about
+                ``MAX_BUCKETS`` buckets at most (that takes a count as well); at
+                the default width a bucket has about 2^20 rows whatever the
+                table, so 10^12 rows have 10^6 bounds of 16 bytes
 2. local pass   window over ``partition by key, bucket order by seq``: the one
                 exchange of the raw rows.  Keys that are not split have one
                 bucket, and their result is final
@@ -24,7 +27,9 @@ is, however the order values are spread, and with one outlier or a burst:
                 is broadcast
 
 The last-n scan needs no carry: the last rows of a bucket are dealt to the next
-one as well (a "halo", dropped afterwards).
+one as well (a "halo", dropped afterwards).  The last n of several types at once
+(``last_n_of_types``) has one: lists that are joined and trimmed to n, taken from the
+local pass's own exchange.
 
 The result does not depend on ``width``.  A null key is a group like any other.
 A null order value fails the query: such a row has no place.  Null values are
@@ -44,8 +49,7 @@ from eventide.functions.exprs import epoch_us
 
 # Rows per (key, bucket) group; bounds and carries have rows / width entries.
 DEFAULT_WIDTH = 1 << 20
-# A smaller width is widened to rows / MAX_BUCKETS, so that the driver's work and the
-# broadcasts do not grow with the table.
+# A smaller width is widened to rows / MAX_BUCKETS, up to DEFAULT_WIDTH.
 MAX_BUCKETS = 4096
 # Sampled rows per bucket: a bucket's size is width give or take a fifth.
 SAMPLES = 32
@@ -93,18 +97,19 @@ def bounds(df: DataFrame, keys: Sequence[str], width: int, halo: int = 0) -> lis
     ranked = sample.select(*keys, ORDER, F.row_number().over(w).alias("_r"),
                            F.lag(ORDER, max(halo - 1, 0)).over(w).alias("_h"))
     found = ranked.where(F.col("_r") % per == 0).groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(ORDER, "_h"))).alias("_b"))
+        F.sort_array(F.collect_list(F.struct(ORDER, "_h"))).alias("_b")).where(F.size("_b") > 0)
     return found.select(*keys, F.col(f"_b.{ORDER}").alias("_bounds"), F.col("_b._h").alias("_halos")).collect()
 
 
 def split(df: DataFrame, order: str, keys: Sequence[str] = (), width: int = DEFAULT_WIDTH, halo: int = 0) -> Split:
-    """Deal each key's rows to buckets of about ``width`` rows in ``order``, or more
-    if the table would have over ``MAX_BUCKETS`` of them."""
+    """Deal each key's rows to buckets of about ``width`` rows in ``order``; of a width below
+    the default more, if the table would have over ``MAX_BUCKETS`` buckets."""
     if width < 1:
         raise ValueError("width must be >= 1")
     keys = list(keys)
     d = df.withColumn(ORDER, order_number(df, order))
-    width = max(width, -(-d.count() // MAX_BUCKETS))
+    if width < DEFAULT_WIDTH:
+        width = max(width, min(DEFAULT_WIDTH, -(-d.count() // MAX_BUCKETS)))
     found = bounds(d, keys, width, halo)
     if not found:
         return Split(d.withColumn(BUCKET, F.lit(0)), False)
@@ -220,3 +225,56 @@ def forward_fill(df: DataFrame, order: str, fills: Mapping[str, Column],
         F.max_by(e, F.when(e.isNotNull(), F.col(ORDER))).alias(f"_t_{n}") for n, e in fills.items()])
     out = _with_carry(local, totals, keys, {f"_c_{n}": F.last(f"_t_{n}", ignorenulls=True).over(_earlier(keys)) for n in fills})
     return out.select(*df.columns, *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in fills])
+
+
+def last_n_of_types(df: DataFrame, order: str, n: int, value: Column, type_col: str, types: Mapping[str, str],
+                    keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Add one column per entry of ``types`` (type -> column): the last ``n`` values of
+    ``value`` among the key's rows of that type so far, oldest first; null until the first.
+    Null values take their place in the lists.
+
+    One exchange of the raw rows serves it all: in a (key, bucket), rows sorted by type make
+    the lists at their own rows, and rows in order carry them to the rows between.  A split
+    key's lists as of the end of each bucket, trimmed to n, are the carry.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    keys, names = list(keys), list(types.values())
+    s = split(df, order, keys, width)
+    own = Window.partitionBy(*keys, BUCKET, type_col).orderBy(ORDER).rowsBetween(-(n - 1), Window.currentRow)
+    # dealt by the coarser of the two windows' groups, which serves both
+    groups = [*keys, BUCKET] if s.any else keys
+    dealt = s.df.repartition(*groups) if groups else s.df.coalesce(1)
+    listed = dealt.withColumn("_list", F.collect_list(F.struct(value.alias("v"))).over(own))
+    so_far = [F.last(F.when(F.col(type_col) == t, F.col("_list")), ignorenulls=True).over(_so_far(keys)).alias(f"_l_{c}") for t, c in types.items()]
+    local = listed.select(*s.df.columns, *so_far)
+
+    def shown(lists: Mapping[str, Column]) -> list[Column]:
+        return [F.transform(e, lambda x: x["v"]).alias(c) for c, e in lists.items()]
+
+    if not s.any:
+        return local.select(*df.columns, *shown({c: F.col(f"_l_{c}") for c in names}))
+    # a condition that always holds keeps all columns, so that both readers share the exchange
+    plain = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    totals = local.where(F.col(SPLIT) & (F.pmod(F.xxhash64(*plain), F.lit(2)) < 2)).groupBy(*keys, BUCKET).agg(
+        F.max_by(F.struct(*[f"_l_{c}" for c in names]), ORDER).alias("_t"))
+    # in long form: the items of each bucket's lists, their last n as of each item, and of each bucket
+    stacked = totals.select(*keys, BUCKET, F.posexplode(F.array(*[F.col(f"_t._l_{c}") for c in names])).alias("_type", "_list"))
+    items = stacked.select(*keys, BUCKET, "_type", F.posexplode_outer("_list").alias("_at", "_item"))
+    by_type = Window.partitionBy(*keys, "_type")
+    # a bucket without the type has one row without an item: numbers of items, not rows, make the frame
+    items = items.withColumn("_k", F.count("_item").over(by_type.orderBy(BUCKET, "_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    as_of = items.withColumn("_list", F.collect_list("_item").over(by_type.orderBy("_k").rangeBetween(-(n - 1), Window.currentRow)))
+    ends = as_of.groupBy(*keys, "_type", BUCKET).agg(F.max_by("_list", F.coalesce("_at", F.lit(-1))).alias("_list"))
+    before = F.lag(F.when(F.size("_list") > 0, F.col("_list"))).over(by_type.orderBy(BUCKET))
+    carried = ends.select(*keys, BUCKET, "_type", before.alias("_list")).groupBy(*keys, BUCKET).agg(
+        *[F.first(F.when(F.col("_type") == i, F.col("_list")), ignorenulls=True).alias(f"_c_{c}") for i, c in enumerate(names)])
+    cond = same_keys("l", "c", keys) & (F.col(f"l.{BUCKET}") == F.col(f"c.{BUCKET}")) & F.col(f"l.{SPLIT}")
+    both = local.alias("l").join(F.broadcast(carried).alias("c"), cond, "left").select(
+        *[F.col(f"l.`{x}`") for x in local.columns], *[F.col(f"c._c_{c}") for c in names])
+
+    def trimmed(c: str) -> Column:
+        joined = F.concat(F.col(f"_c_{c}"), F.col(f"_l_{c}"))
+        return F.coalesce(F.slice(joined, F.greatest(F.size(joined) - (n - 1), F.lit(1)), F.lit(n)), f"_l_{c}", f"_c_{c}")
+
+    return both.select(*df.columns, *shown({c: trimmed(c) for c in names}))

@@ -41,11 +41,11 @@ WIN_TRIGGER_SIZE, WIN_TRIGGER_N, WIN_PURGE_N = "6 hours", 3, 2
 LAST_N = 5
 HIGH_QUANTITY = 3
 HISTORY_PAGE = 1000
-# Rows per bucket of a split key (see operators.scan).  Far below the library's
-# default, so that keys are split at the driver's sizes too and every green row
-# covers the carry: the whole order, the five types, the users (up to 100 events).
-# On larger tables the scan widens them (scan.MAX_BUCKETS).
-ORDER_WIDTH, TYPE_WIDTH, USER_WIDTH, USER_TYPE_WIDTH, WINDOW_WIDTH = 2000, 500, 32, 8, 16
+# Rows per bucket of a split key (see operators.scan) where a query's keys are few: far below
+# the library's default, so that these keys are split at the driver's sizes too and the green
+# rows cover the carries.  On larger tables the scan widens them (scan.MAX_BUCKETS).  Scans per
+# user have the default width.
+ORDER_WIDTH, TYPE_WIDTH, WINDOW_WIDTH = 2000, 500, 200
 LABEL_REGISTERED = "players registered"
 
 
@@ -88,8 +88,7 @@ def _session_measures():
 
 
 def ev_session_by_user(spark, sf):
-    return windows.sessions(_ev(spark, sf), "event_time", USER_GAP, _session_measures(), keys=["user_id"],
-                            width=USER_WIDTH)
+    return windows.sessions(_ev(spark, sf), "event_time", USER_GAP, _session_measures(), keys=["user_id"])
 
 
 def ev_session_global(spark, sf):
@@ -134,13 +133,13 @@ def ev_count_purging(spark, sf):
 
 def ev_window_count_trigger(spark, sf):
     return counting.window_count_trigger(_ev(spark, sf), "event_time", WIN_TRIGGER_SIZE, "seq",
-                                         WIN_TRIGGER_N, {"n_match": windows.count_measure(K.is_add)}, width=WINDOW_WIDTH)
+                                         WIN_TRIGGER_N, {"n_match": windows.count_measure(K.is_add)})
 
 
 def ev_window_count_purging(spark, sf):
     return counting.window_count_trigger(_ev(spark, sf), "event_time", WIN_TRIGGER_SIZE, "seq",
                                          WIN_PURGE_N, {"n_match": windows.count_measure(K.is_add)},
-                                         purge=True, width=WINDOW_WIDTH)
+                                         purge=True)
 
 
 def run_sum_by_key(spark, sf):
@@ -150,23 +149,22 @@ def run_sum_by_key(spark, sf):
 
 def st_count_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id")
-    return rolling.running_count_by_key(d, "seq", ["user_id"], width=USER_WIDTH)
+    return rolling.running_count_by_key(d, "seq", ["user_id"])
 
 
 def st_type_counts_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
-    return rolling.type_counts_by_key(d, "seq", ["user_id"], "event_type", EVENTS_TABLE_TYPES, width=USER_WIDTH)
+    return rolling.type_counts_by_key(d, "seq", ["user_id"], "event_type", EVENTS_TABLE_TYPES)
 
 
 def st_history_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id")
-    return rolling.history_pages(d, "seq", ["user_id"], "seq", page_size=HISTORY_PAGE, width=USER_WIDTH)
+    return rolling.history_pages(d, "seq", ["user_id"], "seq", page_size=HISTORY_PAGE)
 
 
 def st_last5_user_type(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
-    return rolling.last_n_by_key(d, "seq", ["user_id", "event_type"], LAST_N, "seq", "last5",
-                                 width=USER_TYPE_WIDTH)
+    return rolling.last_n_by_key(d, "seq", ["user_id", "event_type"], LAST_N, "seq", "last5")
 
 
 def st_last5_type(spark, sf):
@@ -177,8 +175,7 @@ def st_last5_type(spark, sf):
 def st_last5_pair_by_user(spark, sf):
     d = _ev(spark, sf).select("seq", "user_id", "event_type")
     out = rolling.last_n_per_type(d, "seq", ["user_id"], "event_type",
-                                  {K.add: "last5_add", K.remove: "last5_remove"}, LAST_N, "seq",
-                                  width=USER_TYPE_WIDTH)
+                                  {K.add: "last5_add", K.remove: "last5_remove"}, LAST_N, "seq")
     return out.select("seq", "user_id", "last5_add", "last5_remove")
 
 

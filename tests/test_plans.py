@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from eventide.operators import scan
+from eventide.operators import rolling, scan
 from eventide.plans import catalog
 from eventide.plans.verify import plan_text
 from tests.conftest import SF001
@@ -36,14 +36,41 @@ def raw_exchanges(nodes):
     return raw
 
 
-@pytest.mark.parametrize(("name", "moved"), [
-    ("st_count_by_user", 1), ("run_sum_by_key", 1), ("st_type_counts_by_user", 1), ("ev_count_trigger", 1),
-    ("st_last5_user_type", 1), ("st_last5_type", 1), ("ev_session_by_user", 1), ("ev_session_global", 1), ("ev_window_count_trigger", 1)])
-def test_raw_rows_move_once(spark, name, moved):
-    """The plan that ran, with split keys, has one exchange of the raw rows."""
+@pytest.mark.parametrize(("name", "split"), [
+    ("run_sum_by_key", True), ("ev_count_trigger", True), ("st_last5_type", True), ("ev_session_global", True),
+    ("st_count_by_user", False), ("st_type_counts_by_user", False), ("st_last5_user_type", False),
+    ("st_last5_pair_by_user", False), ("ev_session_by_user", False), ("ev_window_count_trigger", False)])
+def test_raw_rows_move_once(spark, name, split):
+    """The plan that ran has one exchange of the raw rows, whether keys are split or not."""
     nodes = executed(catalog.QUERIES[name](spark, SF001))
-    assert any("_bkt" in text for _, text in nodes if text.startswith("Exchange ")) or any("_split" in t or "_bkt" in t for _, t in nodes)
-    assert len(raw_exchanges(nodes)) == moved, raw_exchanges(nodes)
+    assert any("_bkt" in text for _, text in nodes if text.startswith("Exchange ")) == split
+    assert len(raw_exchanges(nodes)) == 1, raw_exchanges(nodes)
+
+
+@pytest.mark.parametrize("width", [8, 32])
+def test_split_user_keys_move_rows_once_too(spark, width):
+    """Scans per user with a width that splits users: one exchange, and at most one more
+    look at the input, for the totals."""
+    ev = catalog._ev(spark, SF001).select("seq", "user_id", "event_type")
+    sums = rolling.running_count_by_key(ev, "seq", ["user_id"], width=width)
+    pair = rolling.last_n_per_type(ev, "seq", ["user_id"], "event_type", {"purchase": "a", "click": "r"}, 5, "seq", width=width)
+    for df, scans in ((sums, 2), (pair, 1)):
+        nodes = executed(df)
+        assert any("_bkt" in text for _, text in nodes if text.startswith("Exchange "))
+        assert len(raw_exchanges(nodes)) == 1, raw_exchanges(nodes)
+        assert sum("FileScan" in text for _, text in nodes) <= scans
+
+
+def test_default_width_takes_no_count(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def count(self):
+        raise AssertionError("a second statistics job")
+
+    monkeypatch.setattr(DataFrame, "count", count)
+    assert not scan.split(_events(spark, [(1, 1)]), "seq", ["k"]).any
+    with pytest.raises(AssertionError):
+        scan.split(_events(spark, [(1, 1)]), "seq", ["k"], 5)
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))

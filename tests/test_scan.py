@@ -169,3 +169,26 @@ def test_bounds_do_not_grow_with_the_table(spark, monkeypatch, keys):
                      F.collect_list("v").over(w.rowsBetween(-2, 0)).alias("l"))
     assert sorted(got.select("seq", "n", "t").collect()) == sorted(want.select("seq", "n", "t").collect())
     assert sorted(last.select("seq", "l").collect()) == sorted(want.select("seq", "l").collect())
+
+
+@pytest.mark.parametrize("width", [3, 8, 1 << 20])
+def test_last_n_of_types_with_nulls_and_rare_types(spark, width):
+    """Types that many buckets lack, null keys, types and values, against a Python loop."""
+    rows = [(i, None if i % 4 == 0 else i % 3, "rare" if i in (2, 5, 33) else None if i % 11 == 0 else "abc"[i % 3],
+             None if i % 5 == 0 else f"v{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "seq long, k long, t string, v string").repartition(3)
+    types = {"a": "la", "rare": "lr", "never": "ln"}
+    for keys in (["k"], []):
+        got = scan.last_n_of_types(df, "seq", 4, F.col("v"), "t", types, keys, width)
+        assert got.columns == [*df.columns, *types.values()]
+        want = []
+        for s, k, _, _ in rows:
+            so_far = [r for r in rows if r[0] <= s and (not keys or r[1] == k)]
+            want.append((s, *[[r[3] for r in so_far if r[2] == t][-4:] or None for t in types]))
+        assert sorted(map(tuple, got.select("seq", *types.values()).collect())) == want
+
+
+def test_an_empty_keyless_table_has_no_bounds(spark):
+    assert scan.running_sums(spark.range(0).withColumnRenamed("id", "seq"), "seq", {"n": F.lit(1)}).count() == 0
+    df = spark.range(3).withColumnRenamed("id", "seq")
+    assert sorted(r["n"] for r in scan.running_sums(df, "seq", {"n": F.lit(1)}).collect()) == [1, 2, 3]
