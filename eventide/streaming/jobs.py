@@ -12,6 +12,9 @@ windows that no later event has closed stay open for the next start
 reference program             job
 ============================  =============================================
 rolling reduce by parity      ``rolling_sum_job``
+count per user                ``count_by_user_job``
+counts per type and user      ``type_counts_job``
+last 5 events of a type       ``last5_type_job``
 map with open/close           ``doubled_job``
 net players + best window     ``best_window_job``
 processing-time windows       ``processing_time_job``
@@ -25,6 +28,7 @@ two-file fizz/buzz            ``fizzbuzz_job``
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,7 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventide.operators import best, transform, windows
 from eventide.schema import Kinds
-from eventide.streaming import carry, sinks, stateful
+from eventide.streaming import carry, rolling, sinks, stateful
 from eventide.streaming import windows as swin
 
 
@@ -44,12 +48,35 @@ def _start(df: DataFrame, out: str, checkpoint: str, available_now: bool, interv
                        interval=interval, available_now=available_now, foreach_batch=foreach_batch)
 
 
+def _rolling_job(events: DataFrame, checkpoint: str, available_now: bool, fn) -> StreamingQuery:
+    return _start(events, "", os.path.join(checkpoint, "query"), available_now, foreach_batch=fn)
+
+
 def rolling_sum_job(events: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Running sum of ``seq`` per parity key, one row per event."""
+    """Running sum of ``seq`` per parity key, one row per event.  Both keys are hot, so the
+    sums come from scans with a carry (``streaming.rolling``)."""
     d = events.select("seq", ((F.col("seq") % 2) == 0).alias("is_even"))
-    res = stateful.apply_stateful(d, ["is_even"], stateful.RunningSum(["is_even"], "seq", "seq", "running_sum"),
-                                  "is_even boolean, seq long, running_sum long")
-    return _start(res, out, checkpoint, available_now)
+    fn = rolling.running_sums(out, os.path.join(checkpoint, "state"), "seq", {"running_sum": F.col("seq")}, ["is_even"])
+    return _rolling_job(d, checkpoint, available_now, fn)
+
+
+def count_by_user_job(events: DataFrame, out: str, checkpoint: str, key: str = "user_id", available_now: bool = False) -> StreamingQuery:
+    """Per user and event: the number of the user's events so far, however hot a user is."""
+    fn = rolling.running_sums(out, os.path.join(checkpoint, "state"), "seq", {"n_events": F.lit(1)}, [key])
+    return _rolling_job(events.select("seq", key), checkpoint, available_now, fn)
+
+
+def type_counts_job(events: DataFrame, out: str, checkpoint: str, types: Sequence[str], key: str = "user_id",
+                    available_now: bool = False) -> StreamingQuery:
+    """Per user and event: the number of the user's events of each type so far."""
+    fn = rolling.type_counts(out, os.path.join(checkpoint, "state"), "seq", [key], "event_type", types)
+    return _rolling_job(events.select("seq", key, "event_type"), checkpoint, available_now, fn)
+
+
+def last5_type_job(events: DataFrame, out: str, checkpoint: str, n: int = 5, available_now: bool = False) -> StreamingQuery:
+    """Per event: the last n events of its type.  A handful of keys, so all of them are hot."""
+    fn = rolling.last_n(out, os.path.join(checkpoint, "state"), "seq", ["event_type"], n, "seq", "last5")
+    return _rolling_job(events.select("seq", "event_type"), checkpoint, available_now, fn)
 
 
 def _double(b: pa.RecordBatch, *_opened) -> pa.RecordBatch:

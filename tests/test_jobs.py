@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventide.operators import best, transform
 from eventide.plans import catalog
 from eventide.plans.tables import EVENTS_TABLE_MAPPING
-from eventide.schema import Kinds
+from eventide.schema import EVENTS_TABLE_TYPES, Kinds
 from eventide.sources.events import read_events
 from eventide.streaming import carry, jobs, replay
 from eventide.streaming import windows as swin
@@ -51,6 +51,14 @@ def test_rolling_doubled_highq_last5_jobs(spark, scratch, events):
     assert _rows(spark.read.parquet(out("rs")), ["seq", "running_sum"]) == \
         _rows(catalog.run_sum_by_key(spark, SF0001), ["seq", "running_sum"])
 
+    _run(jobs.last5_type_job(_stream(spark, events), out("lt"), cp("lt"), available_now=True))
+    assert _rows(spark.read.parquet(out("lt")), ["seq", "last5"]) == _rows(catalog.st_last5_type(spark, SF0001), ["seq", "last5"])
+    _run(jobs.count_by_user_job(_stream(spark, events), out("cu"), cp("cu"), available_now=True))
+    assert _rows(spark.read.parquet(out("cu")), ["seq", "n_events"]) == _rows(catalog.st_count_by_user(spark, SF0001), ["seq", "n_events"])
+    _run(jobs.type_counts_job(_stream(spark, events), out("tc"), cp("tc"), EVENTS_TABLE_TYPES, available_now=True))
+    cols = ["seq", *[f"n_{t}" for t in EVENTS_TABLE_TYPES]]
+    assert _rows(spark.read.parquet(out("tc")), cols) == _rows(catalog.st_type_counts_by_user(spark, SF0001), cols)
+
     _run(jobs.doubled_job(_stream(spark, events), out("dbl"), cp("dbl"), available_now=True))
     assert _rows(spark.read.parquet(out("dbl")), ["seq", "doubled"]) == \
         [(s, 2 * s) for (s,) in _rows(spark.read.parquet(f"{SF0001}/events.parquet")
