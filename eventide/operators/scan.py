@@ -158,10 +158,11 @@ def running_sums(df: DataFrame, order: str, sums: Mapping[str, Column],
 
 
 def running_max(df: DataFrame, order: str, name: str, value: Column,
-                keys: Sequence[str] = (), width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Add ``name``: max of ``value`` over rows of the key so far.  Works for
-    any orderable type, structs included (``max(struct(a, b))`` is an arg-max)."""
-    return running(df, order, {name: (F.max, F.max, F.greatest, value)}, keys, width)
+                keys: Sequence[str] = (), width: int = DEFAULT_WIDTH, before: bool = False) -> DataFrame:
+    """Add ``name``: max of ``value`` over rows of the key so far (``before``: without the
+    row itself).  Works for any orderable type, structs included (``max(struct(a, b))`` is
+    an arg-max)."""
+    return running(df, order, {name: (F.max, F.max, F.greatest, value)}, keys, width, before)
 
 
 def running_min(df: DataFrame, order: str, name: str, value: Column,
@@ -175,13 +176,15 @@ def _plus(a: Column, b: Column) -> Column:
 
 
 def running(df: DataFrame, order: str, columns: Mapping[str, tuple], keys: Sequence[str] = (),
-            width: int = DEFAULT_WIDTH) -> DataFrame:
+            width: int = DEFAULT_WIDTH, before: bool = False) -> DataFrame:
     """Rolling reduce with any associative aggregate: one column per entry of
     ``columns``, given as (aggregate, aggregate of its results, function of two
-    results, value), e.g. ``(F.sum, F.sum, plus, value)``."""
+    results, value), e.g. ``(F.sum, F.sum, plus, value)``.  ``before`` leaves the row itself
+    out."""
     keys = list(keys)
     s = split(df, order, keys, width)
-    local = s.df.select("*", *[agg(e).over(_so_far(keys)).alias(f"_l_{n}") for n, (agg, _, _, e) in columns.items()])
+    frame = _so_far(keys).rowsBetween(Window.unboundedPreceding, -1) if before else _so_far(keys)
+    local = s.df.select("*", *[agg(e).over(frame).alias(f"_l_{n}") for n, (agg, _, _, e) in columns.items()])
     if not s.any:
         return local.select(*df.columns, *[F.col(f"_l_{n}").alias(n) for n in columns])
     totals = s.df.where(SPLIT).groupBy(*keys, BUCKET).agg(*[agg(e).alias(f"_t_{n}") for n, (agg, _, _, e) in columns.items()])

@@ -18,13 +18,14 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.exprs import divisible
-from eventide.operators import best, counting, rolling, transform, windows
+from eventide.operators import best, counting, rolling, transform, watermarks, window_functions, windows
 from eventide.schema import EVENTS_TABLE_TYPES, Kinds
 from eventide.plans.tables import events_table
 from eventide.sources.events import read_table
@@ -46,6 +47,8 @@ HISTORY_PAGE = 1000
 # rows cover the carries.  On larger tables the scan widens them (scan.MAX_BUCKETS).  Scans per
 # user have the default width.
 ORDER_WIDTH, TYPE_WIDTH, WINDOW_WIDTH = 2000, 500, 200
+# Events reach the watermark queries in blocks of ids, the newest of a block first.
+ARRIVAL_BLOCK, DELAY = 8, "10 minutes"
 LABEL_REGISTERED = "players registered"
 
 
@@ -179,6 +182,74 @@ def st_last5_pair_by_user(spark, sf):
     return out.select("seq", "user_id", "last5_add", "last5_remove")
 
 
+def _arriving(spark, sf):
+    """Events with ``arrival``, an order of arrival other than that of their times."""
+    block = F.col("seq") % ARRIVAL_BLOCK
+    return _ev(spark, sf).select("seq", "event_time", "event_type", (F.col("seq") - block + (ARRIVAL_BLOCK - 1) - block).alias("arrival"))
+
+
+def ev_late_dropped(spark, sf):
+    late = watermarks.late_rows(_arriving(spark, sf), "event_time", "arrival", TUMBLE, watermarks.bounded("event_time", DELAY), width=ORDER_WIDTH)
+    return late.select("seq", "arrival", "event_time", "watermark", windows.START, windows.END)
+
+
+def ev_on_time_count(spark, sf):
+    return watermarks.on_time_sums(_arriving(spark, sf), "event_time", "arrival", TUMBLE,
+                                   {"n_match": windows.count_measure(K.is_registered), "n_events": windows.count_measure()},
+                                   watermarks.bounded("event_time", DELAY), width=ORDER_WIDTH)
+
+
+def ev_on_time_custom(spark, sf):
+    """A generator of one's own: only registrations emit a watermark, their own time."""
+    return watermarks.on_time_sums(_arriving(spark, sf), "event_time", "arrival", SLIDE_SIZE,
+                                   {"n_match": windows.count_measure(K.is_registered), "n_events": windows.count_measure()},
+                                   F.when(K.is_registered, F.col("event_time")), slide=SLIDE, width=ORDER_WIDTH)
+
+
+class QuantityProfile:
+    """How often each quantity occurs in a window: the most frequent one (the smaller of
+    equals) and the lower median, from counts that merge."""
+
+    def create(self) -> np.ndarray:
+        return np.zeros(10, np.int64)
+
+    def add(self, counts: np.ndarray, rows: pa.RecordBatch) -> np.ndarray:
+        return counts + np.bincount(rows.column("quantity").to_numpy(), minlength=10)
+
+    def merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a + b
+
+    def result(self, counts: np.ndarray) -> dict:
+        return {"n_events": int(counts.sum()), "most_frequent": int(counts.argmax()),
+                "median": int(np.searchsorted(2 * np.cumsum(counts), counts.sum()))}
+
+
+def ev_quantity_profile(spark, sf):
+    d = _ev(spark, sf).where(F.col("quantity").isNotNull())
+    return window_functions.aggregate_windows(d, "event_time", TUMBLE, QuantityProfile(), {"quantity": F.col("quantity").cast("long")},
+                                              "n_events long, most_frequent long, median long", keys=["event_type"])
+
+
+def longest_streak(window: window_functions.Group, batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The longest run of events of one type in the window, the first of equals."""
+    best_run, kind, length, first = (0, None, None), None, 0, None
+    for batch in batches:
+        for seq, t in zip(batch.column("seq").to_pylist(), batch.column("event_type").to_pylist(), strict=True):
+            if length and t == kind:
+                length += 1
+            else:
+                kind, length, first = t, 1, seq
+            if length > best_run[0]:
+                best_run = (length, kind, first)
+    yield {"length": best_run[0], "event_type": best_run[1], "first_seq": best_run[2]}
+
+
+def ev_window_streak(spark, sf):
+    d = _ev(spark, sf)
+    return window_functions.apply_windows(d, "event_time", NET_SIZE, longest_streak, {"seq": F.col("seq"), "event_type": F.col("event_type")},
+                                          "length long, event_type string, first_seq long", order=["seq"])
+
+
 def ev_itemize(spark, sf):
     out = transform.itemize(_ev(spark, sf), K.is_add)
     return out.withColumn("item", F.col("item").cast("long"))
@@ -240,7 +311,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ev_best_window_sliding, ev_best_so_far, ev_count_trigger, ev_count_purging,
         ev_window_count_trigger, ev_window_count_purging, run_sum_by_key, st_count_by_user,
         st_type_counts_by_user, st_history_by_user, st_last5_user_type, st_last5_type,
-        st_last5_pair_by_user, ev_itemize, ev_itemize_sku, ev_high_quantity, route_tags,
+        st_last5_pair_by_user, ev_late_dropped, ev_on_time_count, ev_on_time_custom,
+        ev_quantity_profile, ev_window_streak, ev_itemize, ev_itemize_sku, ev_high_quantity, route_tags,
         seq_project, seq_filter, seq_fanout, seq_partition_map,
     ]
 }
@@ -303,6 +375,13 @@ def _last5(part: str) -> str:
             f"ROWS BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW), ',')")
 
 
+_ARRIVING = f"""SELECT *, event_id AS seq, ts AS event_time,
+    event_id // {ARRIVAL_BLOCK} * {ARRIVAL_BLOCK} + {ARRIVAL_BLOCK - 1} - event_id % {ARRIVAL_BLOCK} AS arrival FROM events"""
+_LATE = f"""WITH a AS ({_ARRIVING}),
+    w AS (SELECT *, max(ts) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '{DELAY}' AS watermark,
+                 {_tb(TUMBLE)} AS window_start FROM a),
+    j AS (SELECT *, coalesce(watermark >= window_start + INTERVAL '{TUMBLE}' - to_microseconds(1000), false) AS late FROM w)"""
+
 ORACLE_SQL: dict[str, str] = {
     "ev_normalize": f"WITH {_EV} SELECT * FROM ev",
     "ev_tumbling_count": f"""
@@ -396,6 +475,44 @@ ORACLE_SQL: dict[str, str] = {
                last_value(CASE WHEN event_type = 'click' THEN l5 END IGNORE NULLS)
                    OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS last5_remove
         FROM a""",
+    "ev_late_dropped": f"""
+        {_LATE}
+        SELECT seq, arrival, event_time, watermark, window_start, window_start + INTERVAL '{TUMBLE}' AS window_end
+        FROM j WHERE late""",
+    "ev_on_time_count": f"""
+        {_LATE}
+        SELECT window_start, window_start + INTERVAL '{TUMBLE}' AS window_end,
+               count(*) FILTER (NOT late AND event_type = 'signup') AS n_match, count(*) FILTER (NOT late) AS n_events,
+               count(*) FILTER (late) AS n_late
+        FROM j GROUP BY ALL HAVING count(*) FILTER (NOT late) > 0""",
+    "ev_on_time_custom": f"""
+        WITH a AS ({_ARRIVING}),
+        w AS (SELECT *, max(CASE WHEN event_type = 'signup' THEN ts END)
+                        OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark FROM a),
+        e AS (SELECT *, {_tb(SLIDE)} - to_minutes(15 * k.range) AS window_start FROM w CROSS JOIN range(0, 4) k),
+        j AS (SELECT *, coalesce(watermark >= window_start + INTERVAL '{SLIDE_SIZE}' - to_microseconds(1000), false) AS late FROM e)
+        SELECT window_start, window_start + INTERVAL '{SLIDE_SIZE}' AS window_end,
+               count(*) FILTER (NOT late AND event_type = 'signup') AS n_match, count(*) FILTER (NOT late) AS n_events,
+               count(*) FILTER (late) AS n_late
+        FROM j GROUP BY ALL HAVING count(*) FILTER (NOT late) > 0""",
+    "ev_quantity_profile": f"""
+        WITH {_EV},
+        c AS (SELECT time_bucket(INTERVAL '{TUMBLE}', event_time, TIMESTAMP '1970-01-01') AS window_start, event_type, quantity, count(*) AS n
+              FROM ev WHERE quantity IS NOT NULL GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY window_start, event_type ORDER BY n DESC, quantity) AS place,
+                     sum(n) OVER (PARTITION BY window_start, event_type ORDER BY quantity) AS below,
+                     sum(n) OVER (PARTITION BY window_start, event_type) AS total FROM c)
+        SELECT window_start, window_start + INTERVAL '{TUMBLE}' AS window_end, event_type, CAST(sum(n) AS BIGINT) AS n_events,
+               CAST(max(quantity) FILTER (place = 1) AS BIGINT) AS most_frequent,
+               CAST(min(quantity) FILTER (2 * below >= total) AS BIGINT) AS median
+        FROM r GROUP BY window_start, event_type""",
+    "ev_window_streak": f"""
+        WITH o AS (SELECT {_tb(NET_SIZE)} AS window_start, event_id, event_type FROM events),
+        g AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY event_id)
+                        - row_number() OVER (PARTITION BY window_start, event_type ORDER BY event_id) AS run FROM o),
+        s AS (SELECT window_start, event_type, count(*) AS length, min(event_id) AS first_seq FROM g GROUP BY window_start, event_type, run)
+        SELECT window_start, window_start + INTERVAL '{NET_SIZE}' AS window_end, length, event_type, first_seq
+        FROM s QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY length DESC, first_seq) = 1""",
     "ev_itemize": f"""
         WITH {_EV}
         SELECT seq, user_id, sku, event_time, unnest(range(1, quantity + 1)) AS item, 1 AS quantity
