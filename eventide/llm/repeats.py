@@ -58,7 +58,7 @@ PIECE, TRANSFORM = 2 << 20, 1 << 18
 #: A gram is hot if it has over HOT_FRAGMENTS different fragments, or one of HOT_PARTS
 #: parts of all if that is more, as far as one of SAMPLE texts tell: so at most HOT_PARTS
 #: grams are hot, and the list is small enough to be broadcast.
-HOT_FRAGMENTS, HOT_PARTS, SAMPLE = 1024, 1 << 20, 64
+HOT_FRAGMENTS, HOT_PARTS, SAMPLE = 256, 1 << 20, 16
 #: Rows of whole grams that a task looks at together.
 CHUNK = 1 << 18
 SEPARATOR = 0xFF  # no byte of UTF-8
