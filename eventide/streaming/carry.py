@@ -56,17 +56,25 @@ class CarryStore:
         replayed batch reads the same folder again, so it gets the same carry.  If
         the folder is missing the batch fails.
         """
+        table = self.table_before(spark, batch_id)
+        rows = [] if table is None else table.collect()
+        return rows[0].asDict() if rows else None
+
+    def table_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The carry as a table, of any size; None at the start."""
         if batch_id <= 0:
             return None
         try:
-            rows = spark.read.parquet(self._folder(batch_id - 1)).collect()
+            return spark.read.parquet(self._folder(batch_id - 1))
         except AnalysisException as e:
             raise MissingCarry(f"micro-batch {batch_id} needs the carry of {batch_id - 1} in {self.path}") from e
-        return rows[0].asDict() if rows else None
 
     def write(self, row: DataFrame, batch_id: int) -> None:
-        row.coalesce(1).write.mode("overwrite").parquet(self._folder(batch_id))
-        self._delete(row.sparkSession, batch_id - self.keep)
+        self.write_table(row.coalesce(1), batch_id)
+
+    def write_table(self, table: DataFrame, batch_id: int) -> None:
+        table.write.mode("overwrite").parquet(self._folder(batch_id))
+        self._delete(table.sparkSession, batch_id - self.keep)
 
     def _delete(self, spark: SparkSession, batch_id: int) -> None:
         if batch_id >= 0:  # through Hadoop's file system: the folder may be on any store

@@ -14,7 +14,10 @@ Rules kept from the reference:
 * state is set up in ``init`` (state handles) and never cleared in
   ``close``: ``close`` runs when a task ends, not when the key is done;
 * value / list / map state map to ``getValueState`` / ``getListState`` /
-  ``getMapState``.
+  ``getMapState``;
+* state may be given at the start (``apply_stateful(initial=...)``): ``state_of`` makes it
+  from a table with the batch operators, so a stream goes on where a batch has ended;
+* state of a time window ends with it: ``WindowCountTrigger`` sets an event-time timer.
 
 Each processor works on pandas frames per key and batch (vectorised where
 the logic allows), and the same processors run on a bounded DataFrame too
@@ -28,8 +31,11 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from eventide.operators import rolling, scan
+
 
 class _Keyed(StatefulProcessor):
     """Common parts: key columns, order column, optional state TTL.
@@ -44,6 +50,17 @@ class _Keyed(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """One row per key, as ``state_of`` makes it."""
+        self.restore(initialState.iloc[0])
+
+    def restore(self, row: pd.Series) -> None:
+        raise NotImplementedError(f"{type(self).__name__} takes no initial state")
+
+    def state_of(self, df: DataFrame) -> DataFrame:
+        """The keys' state after the rows of a table: keys and the columns of ``restore``."""
+        raise NotImplementedError(f"{type(self).__name__} takes no initial state")
+
 
 def _rows(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     frames = [r for r in rows if len(r)]
@@ -75,6 +92,13 @@ class RunningSum(_Keyed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("total", "total bigint", self.ttl_ms)
 
+    def state_of(self, df: DataFrame) -> DataFrame:
+        value = F.lit(1) if self.value is None else F.col(self.value)
+        return df.groupBy(*self.keys).agg(F.sum(value).cast("long").alias("total"))
+
+    def restore(self, row: pd.Series) -> None:
+        self.total.update((int(row["total"]),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
         if pdf.empty:
@@ -98,6 +122,14 @@ class TypeCounts(_Keyed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "type string", "n bigint", self.ttl_ms)
 
+    def state_of(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.keys).agg(*[F.count_if(F.col(self.type_col) == t).alias(f"{self.prefix}{t}") for t in self.types])
+
+    def restore(self, row: pd.Series) -> None:
+        for t in self.types:
+            if n := int(row[f"{self.prefix}{t}"]):
+                self.counts.updateValue((t,), (n,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
         if pdf.empty:
@@ -125,6 +157,13 @@ class LastN(_Keyed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.tail = handle.getListState("tail", f"v {self.value_type}", self.ttl_ms)
 
+    def state_of(self, df: DataFrame) -> DataFrame:
+        lists = scan.last_n(df.select(*self.keys, self.order, F.col(self.value).alias("_v")), self.order, self.n, F.col("_v"), "tail", self.keys)
+        return lists.groupBy(*self.keys).agg(F.max_by("tail", self.order).alias("tail"))
+
+    def restore(self, row: pd.Series) -> None:
+        self.tail.put([(v,) for v in _plain(pd.Series(list(row["tail"]), dtype=object))])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
         if pdf.empty:
@@ -149,6 +188,16 @@ class LastNPerType(_Keyed):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.lists = handle.getMapState("lists", "type string", f"ids array<{self.value_type}>", self.ttl_ms)
 
+    def state_of(self, df: DataFrame) -> DataFrame:
+        d = df.select(*self.keys, self.order, F.col(self.type_col).alias("_t"), F.col(self.value).alias("_v"))
+        lists = scan.last_n_of_types(d, self.order, self.n, F.col("_v"), "_t", self.types, self.keys)
+        return lists.groupBy(*self.keys).agg(F.max_by(F.struct(*self.types.values()), self.order).alias("_s")).select(*self.keys, "_s.*")
+
+    def restore(self, row: pd.Series) -> None:
+        for t, c in self.types.items():
+            if row[c] is not None:
+                self.lists.updateValue((t,), (_plain(pd.Series(list(row[c]), dtype=object)),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
         if pdf.empty:
@@ -206,6 +255,43 @@ class CountTrigger(_Keyed):
                                 "n_seen": n_seen, "n_match": n_match})
 
 
+class WindowCountTrigger(CountTrigger):
+    """``CountTrigger`` whose keys are event-time windows: a timer at the window's end
+    (column ``end_ms``, epoch milliseconds, from ``in_windows``) drops the window's state once
+    the watermark has passed it.  Run it with ``apply_stateful(..., event_time=True)`` on a
+    stream with a watermark, which drops rows that are late for their window."""
+
+    def __init__(self, keys: Sequence[str], order: str, n: int, match: str, end_ms: str = "end_ms", purge: bool = False):
+        super().__init__(keys, order, n, match, purge)
+        self.end_ms = end_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [r for r in rows if len(r)]
+        if not frames:
+            return
+        end = int(frames[0][self.end_ms].iloc[0])
+        if end <= timerValues.getCurrentWatermarkInMs():
+            return  # reported and dropped: not opened again
+        if not self.acc.exists():
+            self.handle.registerTimer(end)
+        yield from super().handleInputRows(key, iter(frames), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.acc.clear()
+        yield from ()
+
+
+def in_windows(stream: DataFrame, time_col: str, size: str, start: str = "window_start", end: str = "window_end", end_ms: str = "end_ms") -> DataFrame:
+    """The rows with their tumbling window, and its end in milliseconds; ``time_col`` keeps its
+    watermark."""
+    w = stream.withColumn("_w", F.window(time_col, size)).withColumns({start: F.col("_w.start"), end: F.col("_w.end")})
+    return w.withColumn(end_ms, F.unix_millis(end)).drop("_w")
+
+
 class HistoryPages(_Keyed):
     """All events so far per key, as bounded pages: list state holds the open
     page only.  Each row reports its position and page; the page's text so far comes
@@ -216,6 +302,18 @@ class HistoryPages(_Keyed):
         self.keys, self.order, self.value, self.page_size = list(keys), order, value, page_size
         self.value_type = value_type
 
+    def state_of(self, df: DataFrame) -> DataFrame:
+        pages = rolling.history_pages(df, self.order, self.keys, self.value, self.page_size).groupBy(*self.keys).agg(F.sum("n_events").alias("pos"))
+        open_ = F.when(F.col("pos") % self.page_size > 0, F.slice("tail", -(F.col("pos") % self.page_size), F.col("pos") % self.page_size))
+        lists = LastN(self.keys, self.order, self.value, self.page_size).state_of(df)
+        both = pages.alias("a").join(lists.alias("b"), scan.same_keys("a", "b", self.keys))
+        return both.select(*[F.col(f"a.{k}") for k in self.keys], "pos", "tail").select(*self.keys, "pos", F.coalesce(open_, F.expr("slice(tail, 1, 0)")).alias("page"))
+
+    def restore(self, row: pd.Series) -> None:
+        self.pos.update((int(row["pos"]),))
+        if len(row["page"]):
+            self.page.put([(v,) for v in _plain(pd.Series(list(row["page"]), dtype=object))])
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pos = handle.getValueState("pos", "pos bigint", self.ttl_ms)
         self.page = handle.getListState("page", f"v {self.value_type}", self.ttl_ms)
@@ -245,14 +343,21 @@ class HistoryPages(_Keyed):
 
 
 def apply_stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
-                   output_schema: str, output_mode: str = "Append", ttl_ms: int | None = None) -> DataFrame:
+                   output_schema: str, output_mode: str = "Append", ttl_ms: int | None = None,
+                   event_time: bool = False, initial: DataFrame | None = None) -> DataFrame:
     """``groupBy(keys).transformWithStateInPandas(processor)``.  With
     ``ttl_ms`` the processor's state expires after that much processing time
     without an update (processing-time mode, needed for TTL).  A query in that
     mode keeps running micro-batches for expiry, so use it with a continuous
-    trigger, not ``availableNow``."""
+    trigger, not ``availableNow``.  ``event_time`` lets the processor set timers on
+    the stream's watermark.  ``initial`` is a table with one row per key, the state
+    before the first row of the stream (``processor.state_of(table)``); a restart
+    from a checkpoint does not read it again."""
     if ttl_ms is not None:
+        if event_time:
+            raise ValueError("a TTL is processing time: it cannot be had with event-time timers")
         processor.ttl_ms = int(ttl_ms)
+    mode = "EventTime" if event_time else "ProcessingTime" if ttl_ms is not None else "None"
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=output_schema,
-        outputMode=output_mode, timeMode="ProcessingTime" if ttl_ms is not None else "None")
+        statefulProcessor=processor, outputStructType=output_schema, outputMode=output_mode, timeMode=mode,
+        initialState=None if initial is None else initial.groupBy(*keys))

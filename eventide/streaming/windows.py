@@ -7,10 +7,11 @@ micro-batch.  Rows later than the watermark are dropped by the window
 aggregate and counted in the query progress (``numRowsDroppedByWatermark``),
 which is the default of the reference too: no allowed lateness, no side output.
 
-Sliding windows on streams use Spark's own ``window(t, size, slide)``: the
-two-level form of the batch side would chain two stateful aggregations.
-Sessions on a stream need a key (a global session window is refused on
-streams, and a constant key would be one task).
+Sliding windows in append mode are two chained aggregations (``stream_sliding_sums``); in
+update mode, which allows one aggregation only, they use Spark's own
+``window(t, size, slide)``.  Spark's session windows on a stream need a key (a global one is
+refused, and a constant key would be one task); sessions of the whole stream, and windows
+under a watermark that moves with every event, are in ``streaming.event_time``.
 """
 
 from __future__ import annotations
@@ -42,6 +43,21 @@ def stream_window_sums(stream: DataFrame, time_col: str, size: str, measures: Ma
     return g.select(F.col("_w.start").alias(START), F.col("_w.end").alias(END), *keys, *measures)
 
 
+def stream_sliding_sums(stream: DataFrame, time_col: str, size: str, slide: str, measures: Mapping[str, Column],
+                        delay: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Sliding window sums without expanding rows, for output mode ``append``: a first
+    aggregation makes slide-sized windows (one state row per key and slide, a hot window is
+    one partial row per task), and a second one, over their ``window_time``, adds each to the
+    size / slide windows that it is part of.  Equal to ``stream_window_sums`` with a slide."""
+    if duration_us(size) % duration_us(slide):
+        raise ValueError("the slide must divide the size; else use stream_window_sums")
+    keys = list(keys)
+    pre = (with_watermark(stream, time_col, delay).groupBy(F.window(time_col, slide).alias("_b"), *keys)
+           .agg(*[F.sum(e).cast("long").alias(n) for n, e in measures.items()]))
+    g = pre.groupBy(F.window(F.window_time("_b"), size, slide).alias("_w"), *keys).agg(*[F.sum(n).cast("long").alias(n) for n in measures])
+    return g.select(F.col("_w.start").alias(START), F.col("_w.end").alias(END), *keys, *measures)
+
+
 def stream_window_counts(stream: DataFrame, time_col: str, size: str, match: Column, delay: str,
                          slide: str | None = None, keys: Sequence[str] = (),
                          with_total: bool = False) -> DataFrame:
@@ -65,7 +81,7 @@ def stream_sessions(stream: DataFrame, time_col: str, gap: str, measures: Mappin
     watermark passes its end)."""
     keys = list(keys)
     if not keys:
-        raise ValueError("a stream's sessions need a key; without one use windows.sessions on a table")
+        raise ValueError("a stream's sessions need a key; without one use event_time.global_sessions")
     g = with_watermark(stream, time_col, delay).groupBy(F.session_window(time_col, gap).alias("_w"), *keys).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in measures.items()])
     return g.select(*keys, F.col("_w.start").alias(START), F.col("_w.end").alias(END), *measures)
