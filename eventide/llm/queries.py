@@ -170,20 +170,20 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-#: Index words only find the places of key phrases faster: SQL tries them all.
+#: Index words only find the places of key phrases faster: SQL tries all places of their first words.
 OP5_SQL = r"""
 WITH t(label, notice, k, ofs, base) AS (VALUES
 """ + ",\n".join(
-    f"  ('{t.label}', string_split('{t.notice}', ' '), string_split('{t.key}', ' '), {t.key_at}, {t.base})"
+    f"  ('{t.label}', string_split('{" ".join(t.words)}', ' '), string_split('{" ".join(t.key_words)}', ' '), {t.key_at}, {t.base})"
     for t in licences.TEMPLATES) + r"""),
 d AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
-s AS (
-  SELECT rid, label, notice, ofs, base, w, unnest(list_filter(range(0, len(w)), lambda i: list_slice(w, i + 1, i + len(k)) = k)) AS i
-  FROM d, t),
+p AS (SELECT rid, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
+c AS (SELECT rid, i, label, notice, k, ofs, base FROM p JOIN t ON p.word = t.k[1]),
+s AS (SELECT c.*, d.w FROM c JOIN d USING (rid) WHERE list_slice(d.w, c.i + 1, c.i + len(c.k)) = c.k),
 hits AS (
   SELECT rid, label, base, i, len(list_filter(range(0, len(notice)), lambda j: i - ofs + j >= 0
            AND coalesce(w[i - ofs + j + 1] = notice[j + 1], false))) / CAST(len(notice) AS DOUBLE) AS share

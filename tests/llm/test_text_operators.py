@@ -170,3 +170,25 @@ def test_words_of_any_length_have_ngrams(word):
     lambda d: tokens.token_counts(d, public_tokenizers.path("word_bpe_49k.json")), quality.judged, quality.keep_good, licences.licence_scan])
 def test_empty_tables(spark, build):
     assert build(cases.documents(spark).limit(0)).count() == 0
+
+
+def test_licence_plan_does_not_grow_with_the_templates(spark):
+    """Templates are data: 400 of them give the plan of four, and every one is found."""
+    rnd = random.Random(4)
+    many = [licences.Template(f"l{i}", f"intro {i} words " + cases.prose(900 + i, 12) + f" clause {i}x of {i * 7} end", f"clause {i}x of {i * 7}") for i in range(400)]
+    rows = [(i, "noise " * rnd.randint(0, 5) + t.notice.upper() + " tail", None, None) for i, t in enumerate(many)]
+    df = cases.documents(spark, rows).select("doc_id", "text")
+    few, all_ = licences.licence_scan(df, many[:4]), licences.licence_scan(df, many)
+    nodes = [d._jdf.queryExecution().analyzed().toString().count("\n") for d in (few, all_)]
+    calls = [d._jdf.queryExecution().analyzed().toString().count("lambdafunction") for d in (few, all_)]
+    assert nodes[0] == nodes[1] and calls[0] == calls[1]
+    for r in all_.collect():
+        assert [(h["template"], h["share"]) for h in r["hits"]] == [(r["doc_id"], 1.0)]
+    assert licences.licence_scan(df, []).where("size(hits) > 0").count() == 0
+
+
+def test_licence_templates_are_whole_notices():
+    labels = {t.label for t in licences.TEMPLATES}
+    assert len(labels) >= 30 and sum(len(t.words) >= 12 for t in licences.TEMPLATES) >= 25
+    assert [t.label for t in licences.TEMPLATES if t.base] == ["mit", "apache-2", "cc-by-nc"]
+    assert all(t.words[t.key_at:t.key_at + len(t.key_words)] == t.key_words for t in licences.TEMPLATES)
