@@ -63,8 +63,9 @@ TABLE_PLACES = IN_TABLE | {"html"}
 SPACES = re.compile("[ \t\n\x0c\r]+")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)", re.I)
-#: Elements nested deeper become siblings, as in browsers; so every page costs at
-#: most this many steps per piece.  Indentation stops earlier.
+#: Elements nested deeper become siblings in the tree, as in browsers; so every page costs at
+#: most this many steps per piece.  What stands in them stays hidden or shown as it was.
+#: Indentation stops earlier.
 MAX_DEPTH, MAX_INDENT = 512, 24
 TAG = re.compile(r"<(/?)([a-zA-Z][^ \t\n\r\f/>]*)")
 ATTRIBUTE = re.compile(r"[ \t\n\r\f/]*([^ \t\n\r\f/>][^ \t\n\r\f/>=]*)[ \t\n\r\f]*(=?)[ \t\n\r\f]*")
@@ -72,7 +73,8 @@ UNQUOTED = re.compile(r"[^ \t\n\r\f>]*")
 #: Elements whose content is text up to their end tag.
 RAW_TEXT = {t: re.compile(rf"</{t}(?=[ \t\n\r\f/>])", re.I) for t in
             ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript")}
-#: A column is padded to at most so many characters; longer cells run over.
+#: A column is padded to at most so many characters; where a cell is longer, the next one
+#: stands in its column on the line below.
 COLUMN = 80
 MAX_SPAN = 1000
 
@@ -89,6 +91,15 @@ class Node:
         self.children: list[Node | str] = []
 
 
+class Over(NamedTuple):
+    """An open element beyond MAX_DEPTH: its latest node, and what it hands down."""
+
+    tag: str
+    node: Node
+    hidden: bool
+    visibility: str
+
+
 class TreeBuilder:
     """Reads tags and text in one pass over the page and builds the tree."""
 
@@ -96,6 +107,9 @@ class TreeBuilder:
         self.root = Node("html", {}, None)
         self.at, self.depth = self.root, 0
         self.in_scope: dict[str, int] = {}  # open elements by tag: most end searches stop here
+        self.over: list[Over] = []  # open elements beyond MAX_DEPTH, in ``at``
+        self.over_scope: dict[str, int] = {}
+        self.last_shown: Node | None = None  # of the nodes beyond MAX_DEPTH
 
     def feed(self, page: str) -> None:
         """What begins like a tag but is none is text; a comment, tag or raw element
@@ -150,10 +164,63 @@ class TreeBuilder:
         else:
             node = Node(tag, attrs, table.parent, self.at)
             put_before(table, node)
-        if tag not in VOID and self.depth < MAX_DEPTH:
+        if tag in VOID:
+            return
+        if self.depth < MAX_DEPTH:
             self.at = node
             self.depth += 1
             self.in_scope[tag] = self.in_scope.get(tag, 0) + 1
+        else:
+            self.open_over(tag, node)
+
+    def open_over(self, tag: str, node: Node) -> None:
+        """An element beyond MAX_DEPTH: in the tree a sibling of those around it, with what
+        they hand down written on it."""
+        style = node.attrs.get("style") or ""
+        said = VISIBILITY.search(style)
+        hidden, visibility = (self.over[-1].hidden, self.over[-1].visibility) if self.over else (False, "")
+        hidden = hidden or not is_shown(node)
+        if hidden:
+            node.attrs["hidden"] = ""
+        else:
+            self.last_shown = node
+        if said:
+            visibility = f";visibility:{said[1]}"
+        elif visibility:
+            node.attrs["style"] = style + visibility
+        self.over.append(Over(tag, node, hidden, visibility))
+        self.over_scope[tag] = self.over_scope.get(tag, 0) + 1
+
+    def close_over(self, tag: str) -> None:
+        """Close the innermost such element and what is open in it."""
+        while self.over:
+            closed = self.over.pop()
+            self.over_scope[closed.tag] -= 1
+            if closed.tag == tag:
+                return
+
+    def start_over(self, tag: str, attrs: dict[str, str | None]) -> None:
+        if (tag in ENDS_P and self.over[-1].tag == "p") or (tag in ENDS and self.over[-1].tag in ENDS[tag][0]):
+            self.close_over(self.over[-1].tag)
+        node = Node(tag, attrs, self.at)
+        self.at.children.append(node)
+        if tag not in VOID:
+            self.open_over(tag, node)
+        elif self.over and self.over[-1].hidden:
+            attrs["hidden"] = ""
+        else:
+            self.last_shown = node
+
+    def data_over(self, data: str) -> None:
+        """Text of such an element; behind an element inside it, in a further node."""
+        open_ = self.over[-1]
+        if open_.node is not self.last_shown and open_.node is not self.at.children[-1]:
+            attrs = {k: v for k, v in open_.node.attrs.items() if k in ("hidden", "style")}
+            node = Node("div" if open_.tag in BLOCKS else "span", attrs | ({"hidden": ""} if open_.hidden else {}), self.at)
+            self.at.children.append(node)
+            self.over[-1] = open_._replace(node=node)
+            self.last_shown = self.last_shown if open_.hidden else node
+        self.over[-1].node.children.append(data)
 
     def pop_to(self, node: Node) -> None:
         """Close everything up to and including ``node``."""
@@ -202,6 +269,9 @@ class TreeBuilder:
                 self.close(("table",), NOTHING)
 
     def handle_starttag(self, tag: str, attrs: dict[str, str | None]) -> None:
+        if self.over and tag not in ("html", "body"):
+            self.start_over(tag, attrs)
+            return
         if tag in ("html", "body"):
             self.close(("head",), NOTHING)
             self.root.attrs |= {k: v for k, v in attrs.items() if k not in self.root.attrs}
@@ -228,6 +298,17 @@ class TreeBuilder:
             self.push("tbody", {})
 
     def handle_endtag(self, tag: str) -> None:
+        if self.over:
+            if tag == "br":
+                self.start_over(tag, {})
+                return
+            if self.over_scope.get(tag):
+                self.close_over(tag)
+                return
+            if not self.in_scope.get(tag):
+                return
+            self.over.clear()  # an element around them ends
+            self.over_scope.clear()
         if tag == "br":
             self.push("br", {})
         elif tag not in VOID and tag not in ("html", "body"):
@@ -235,6 +316,9 @@ class TreeBuilder:
             self.close((tag,), within)
 
     def handle_data(self, data: str) -> None:
+        if self.over:
+            self.data_over(data)
+            return
         if self.in_scope.get("head") and self.at.tag == "head" and not data.isspace():
             self.close(("head",), NOTHING)
         if self.at.tag in TABLE_PARTS:
@@ -353,6 +437,12 @@ def grid(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
             at += columns
         taken = {c: n - 1 for c, n in taken.items() if n > 1}
         placed.append(own)
+    for own in placed:  # cells over several columns widen their last one
+        for first, columns, lines in own:
+            if columns > 1:
+                have = sum(widths.get(c, 0) + 2 for c in range(first, first + columns - 1))
+                need = min(COLUMN * columns, max(map(len, lines), default=0)) - have
+                widths[first + columns - 1] = max(widths.get(first + columns - 1, 0), min(COLUMN, need))
     starts, at = {}, 0
     for c in range(max([0, *(a + n for own in placed for a, n, _ in own)])):
         starts[c] = at
@@ -363,7 +453,10 @@ def grid(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
             line = ""
             for c, _, lines in own:
                 if i < len(lines) and lines[i]:
-                    line = (line + "  " if len(line) > starts[c] else line.ljust(starts[c])) + lines[i] if line or c else lines[i]
+                    if line and len(line) + 2 > starts[c]:  # a long cell: on the next line
+                        out.append(line)
+                        line = ""
+                    line = line.ljust(starts[c]) + lines[i]
             out.append(line)
     return out
 

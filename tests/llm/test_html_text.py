@@ -134,3 +134,62 @@ def test_table(spark):
     got = sorted((str(r["page_id"]), r["text"]) for r in extracted(df).collect())
     assert got == sorted((str(i), page_text(h)) for i, h in rows)
     assert extracted(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("depth", [5, 400, 511, 512, 513, 900])
+def test_what_is_hidden_stays_hidden_at_any_depth(depth):
+    around = "<div>" * depth
+
+    def same(page, expected):  # flattened elements keep their order; lines may break elsewhere
+        got = page_text(page)
+        return got == expected if depth < 500 else got.split() == expected.split() or "".join(got.split()) == "".join(expected.split())
+
+    assert page_text(around + "a<script>var secret=1;</script><p hidden>gone</p>b") == "ab"
+    assert same(around + "a<i>b<b>c</b>d</i>e<u style='visibility:hidden'>x<s>y</s>z</u>f", "abcdef")
+    assert page_text(around + "<b hidden>x<i>y</i>z<p>q<p>r</b>shown") == "shown"
+    assert same(around + "<p>one<p>two<b>three</b></p>four", "one\n\ntwothree\n\nfour")
+    assert same("<table><tr><td>" + around + "<i>x<b>y</td><td>z</table>after", "xy  z\n\nafter")
+    assert same(around + "<i>" * 40 + "x" + "</i>" * 40 + "y" + "</div>" * depth + "z", "xy\nz")
+
+
+def test_columns_line_up_beside_long_and_spanned_cells():
+    long = "long " * 18 + "end"
+    lines = page_text(f"<table><tr><td>{long}<td>one<td>1<tr><td>b<td>two<td>2</table>").split("\n")
+    assert lines[0] == long and [x.index(w) for x, w in zip(lines[1:], ("one", "two"), strict=True)] == [82, 82]
+    assert [x.index(w) for x, w in zip(lines[1:], ("1", "2"), strict=True)] == [87, 87]
+    lines = page_text("<table><tr><th colspan=2>a heading over two columns<th>n<tr><td>a<td>b<td>c</table>").split("\n")
+    assert lines[0].rindex("n") == lines[1].index("c") and lines[1].index("b") == 3
+
+
+def test_layout_against_brute_force():
+    """Small trees of inline, plain and spaced elements: two texts that follow each other are
+    apart as the outermost blocks between them and their common element say."""
+    rnd = random.Random(11)
+    spaced, plain, inline = ("section", "blockquote", "article"), ("div", "main", "footer"), ("b", "i", "span")
+    for _ in range(400):
+        texts: list[tuple[str, tuple]] = []
+
+        def tree(path: tuple, shown: bool, texts=texts) -> str:
+            out = ""
+            for i in range(rnd.randint(1, 3)):
+                if len(path) > 4 or rnd.random() < 0.35:
+                    word = f"w{len(texts)}."
+                    if shown:
+                        texts.append((word, path))
+                    out += word if shown else "no"
+                else:
+                    tag = rnd.choice([*spaced[:1], *spaced[2:], *plain, *inline])
+                    hide = rnd.random() < 0.1
+                    out += f"<{tag}{' hidden' if hide else ''}>{tree((*path, (len(path), i, rnd.random(), tag)), shown and not hide)}</{tag}>"
+            return out
+
+        page, expected = tree((), True), ""
+        for k, (word, path) in enumerate(texts):
+            if k:
+                before = texts[k - 1][1]
+                common = next((n for n, (x, y) in enumerate(zip(before, path, strict=False)) if x != y), min(len(before), len(path)))
+                outer = [next((t for *_, t in p[common:] if t not in inline), None) for p in (before, path)]
+                expected += "\n\n" if any(t in spaced for t in outer) else "\n" if any(outer) else ""
+            expected += word
+        # an inline element with a block in it is cut by the block: neighbours of hidden blocks may join
+        assert page_text(page) == expected, page
