@@ -27,14 +27,15 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from eventide.llm.common import fresh, ref
+from eventide.llm.common import checkpointed, fresh, ref
 
 FOLDS, HELD_OUT = 5, 0
-TRAIN_ROWS = 3000
+#: Bounds of the training sample: examples, and bytes of their features, by hash of the id.
+TRAIN_ROWS, TRAIN_BYTES = 3000, 256 << 20
 BUCKETS, DIMENSIONS, NGRAMS = 1 << 16, 8, (3, 4)
 REPEAT = BUCKETS  # the row of a word that repeats the one before it
 #: Passes over the examples: enough to see STEPS of them, and EPOCHS at least.
@@ -160,8 +161,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, row_id: str, text: str, la
 def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "quality",
         rows: int = TRAIN_ROWS) -> Model:
     """Train on the bounded sample; examples are put in the order of their ids, so
-    the model depends on the tables alone."""
-    found = training_rows(docs, labels, row_id, text, label, rows).collect()
+    the model depends on the tables alone.  Where the features of very long texts would
+    take more than ``TRAIN_BYTES``, examples that come later by the hash of their id are
+    left out; the sizes of at most ``rows`` examples meet in one task for that."""
+    sample = checkpointed(training_rows(docs, labels, row_id, text, label, rows).withColumn("size", F.length("rows") + F.length("n")))
+    by_hash = Window.orderBy(F.xxhash64("id"), "id", F.xxhash64("rows", "n"))
+    before = F.sum("size").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
+    if (sample.agg(F.sum("size")).first()[0] or 0) > TRAIN_BYTES:
+        sample = sample.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") + F.col("size") <= TRAIN_BYTES)
+    found = sample.collect()
     found.sort(key=lambda r: (r["id"], r["y"], bytes(r["rows"]), bytes(r["n"])))
     return train([(np.frombuffer(r["rows"], "<i4"), np.frombuffer(r["n"], "<i4").astype(float), r["y"]) for r in found])
 

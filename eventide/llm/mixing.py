@@ -9,8 +9,9 @@ each integer that its step of the sum crosses.  Documents are summed in order of
 size, so every size is drawn alike and the words taken come near the target.
 
 The prefix is not one long window per source: rows are ranked within (source,
-size class, slice of ids), of which a hot source has many, and the ranks begin
-after the rows of all earlier groups, whose counts are a small table.  One
+size class, slice by a hash of id and size), of which there are the more the longer
+the table is, and the ranks begin after the rows of all earlier groups, whose counts
+are a small table.  One
 shuffle of (id, source, size) rows; texts are not moved.  The offset is a hash of
 the source and the seed, so reruns agree.  DataFrame expressions only.
 """
@@ -30,8 +31,9 @@ from eventide.llm.common import fresh, ref
 WEIGHTS = (5, 2, 1)
 #: A target is at most so many times its source's size.
 MAX_REPEAT = 3
-#: Slices by id of each (source, size class): the parallelism of a hot source.
-SLICES = 64
+#: Rows of a slice of a (source, size class) at most, on average: there are as many slices
+#: as the table has such parts, so one source may hold all rows.
+SLICE_ROWS = 1 << 18
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,7 +70,7 @@ def offset(source: Column, seed: int = SEED) -> Column:
 
 
 def sampled(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text",
-            weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, slices: int = SLICES,
+            weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, slice_rows: int = SLICE_ROWS,
             seed: int = SEED) -> DataFrame:
     """Per row: ``doc_id``, ``size``, ``source_size``, ``target`` (its source's) and
     ``copies``.
@@ -78,21 +80,32 @@ def sampled(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
     target 0 and no copies.  Rows that repeat an id are ranked by size; equal
     rows are interchangeable.  An empty table gives an empty result.
     """
-    return _copies(_rows(df, row_id, source, text), weights, max_repeat, slices, seed).select(
+    return _copies(_rows(df, row_id, source, text), slices_of(df, slice_rows), weights, max_repeat, seed).select(
         "doc_id", "size", "source_size", "target", "copies")
 
 
+def slices_of(df: DataFrame, slice_rows: int = SLICE_ROWS) -> int:
+    return max(1, -(-df.count() // slice_rows))
+
+
+def slice_of(slices: int) -> Column:
+    """A hash of id and size that SQL has too, so that neither ids in steps nor rows that
+    share an id meet in one slice."""
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("size").cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % F.lit(slices)
+
+
 def _rows(df: DataFrame, row_id: str, source: str, text: str, *more: Column) -> DataFrame:
     return df.select(ref(row_id).alias("doc_id"), ref(source).alias("source"), word_count(ref(text)).alias("size"), *more)
 
 
-def _copies(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, slices: int = SLICES,
+def _copies(rows: DataFrame, slices: int, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT,
             seed: int = SEED, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` (doc_id, source, size and ``ties``, which order rows of equal size
     and id) plus source_size, target and copies."""
     kept = rows.columns
     size_class = F.floor(F.log2(F.col("size") + F.lit(1.0)) * 4)
-    rows = rows.withColumns({"class": size_class, "slice": F.coalesce(F.pmod("doc_id", F.lit(slices)), F.lit(0))})
+    rows = rows.withColumns({"class": size_class, "slice": slice_of(slices)})
     group = ["source", "class", "slice"]
     counted = rows.groupBy(*group).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     sizes = counted.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -120,7 +133,7 @@ def _row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(F.lit(i), nulls, *values) for i in range(2)]
 
 
-def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", slice_rows: int = SLICE_ROWS, **options) -> DataFrame:
     """The mix itself: each row of ``df`` as often as its copies say, with the
     number of the copy (from 1) in a column ``copy``; a column ``copy`` that was
     there is replaced.  Rows of equal source, size and id are ranked by a hash of
@@ -133,7 +146,7 @@ def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: s
     hashes = [h.alias(names[n]) for n, h in zip(("hash_a", "hash_b"), _row_hashes(df, kept), strict=True)]
     told = df.select(*map(ref, kept), *hashes)
     rows = _rows(told, row_id, source, text, *[ref(names[n]).alias(n) for n in ("hash_a", "hash_b")])
-    taken = _copies(rows, **options, ties=("hash_a", "hash_b")).groupBy(*key).agg(
+    taken = _copies(rows, slices_of(df, slice_rows), **options, ties=("hash_a", "hash_b")).groupBy(*key).agg(
         F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
     taken = taken.select(*[F.col(n).alias(other[n]) for n in key], *[F.col(n).alias(names[n]) for n in ("copies", "rows")])
     own = [ref(row_id), ref(source), word_count(ref(text)), ref(names["hash_a"]), ref(names["hash_b"])]

@@ -204,7 +204,8 @@ WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 g AS (SELECT *, CAST(floor(log2(size + 1.0::DOUBLE) * 4) AS BIGINT) AS class,
-             coalesce(((doc_id % {mixing.SLICES}) + {mixing.SLICES}) % {mixing.SLICES}, 0) AS slice FROM d),
+             ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(size AS VARCHAR)), 1, 8))::BIGINT
+               % (SELECT greatest(1, CAST(ceil(count(*) / {mixing.SLICE_ROWS}.0) AS BIGINT)) FROM documents) AS slice FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (
   SELECT *, source_size * 3.0::DOUBLE AS stop,

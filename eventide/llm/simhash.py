@@ -125,15 +125,23 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     dealt = dealt.repartition("pair", "bits").sortWithinPartitions("pair", "bits")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the last shard of a batch may go on in the next
+        rest: list[pd.DataFrame] = []  # the last shard so far may go on in the next batch
         for batch in batches:
-            whole = batch if rest is None else pd.concat([rest, batch])
-            pair, bits, fp = (whole[c].to_numpy() for c in ("pair", "bits", "fp"))
+            if not len(batch):
+                continue
+            pair, bits = batch["pair"].to_numpy(), batch["bits"].to_numpy()
             cuts = np.flatnonzero((np.diff(pair) != 0) | (np.diff(bits) != 0)) + 1
-            rest = whole.iloc[cuts[-1] if len(cuts) else 0:]
-            yield told(fp, cuts)
-        if rest is not None:
-            yield told(rest["fp"].to_numpy(), np.array([len(rest)]))
+            ends = bool(rest) and (rest[-1]["pair"].iloc[-1], rest[-1]["bits"].iloc[-1]) != (pair[0], bits[0])
+            if not ends and not len(cuts):  # one shard goes on through the whole batch
+                rest.append(batch)
+                continue
+            held, begun = sum(map(len, rest)), int(cuts[-1]) if len(cuts) else 0
+            whole = np.concatenate([*[r["fp"].to_numpy() for r in rest], batch["fp"].to_numpy()[:begun]])
+            yield told(whole, np.append([held] if ends else [], held + cuts).astype(np.int64))
+            rest = [batch.iloc[begun:]]
+        if rest:
+            last = np.concatenate([r["fp"].to_numpy() for r in rest])
+            yield told(last, np.array([len(last)]))
 
     def told(fp: np.ndarray, cuts: np.ndarray) -> pd.DataFrame:
         begins = np.concatenate([[0], cuts[:-1]]) if len(cuts) else cuts

@@ -63,6 +63,22 @@ def test_links_find_all_components(spark, radius):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_shards_that_go_on_over_many_batches(spark):
+    """Arrow batches far smaller than a shard, and shards that end with a batch."""
+    rnd = random.Random(4)
+    near = [rnd.getrandbits(24) for _ in range(300)]  # the upper blocks are equal: one hot shard
+    df = spark.createDataFrame([(v,) for v in sorted({*near, *[v ^ 1 for v in near[:50]], *[rnd.getrandbits(62) for _ in range(100)]})], "fp long")
+    whole = {tuple(r) for r in simhash.links(df, 2).collect()}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    try:
+        for n in (1, 7):
+            spark.conf.set(size, n)
+            assert {tuple(r) for r in simhash.links(df, 2).collect()} == whole and len(whole) >= 50
+    finally:
+        spark.conf.set(size, old)
+
+
 def test_bk_tree_finds_all_within():
     rnd, tree = random.Random(1), simhash.BKTree()
     values = [rnd.getrandbits(10) for _ in range(300)]

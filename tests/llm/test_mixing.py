@@ -41,11 +41,11 @@ def test_copies(spark):
     rnd, rows = random.Random(3), list(cases.ROWS)
     rows += [(5000 + i, cases.prose(i, rnd.randint(1, 80)), "en", rnd.choice(["hot", "hot", "hot", "b", "c", None])) for i in range(900)]
     df = cases.documents(spark, rows, clashing=True).withColumn("rank", F.lit(1))
-    got = mixing.sampled(df, slices=4).collect()
+    got = mixing.sampled(df, slice_rows=100).collect()
     assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted(
         (str(i), len(re.findall("[^\x20\x09-\x0d]+", t))) for i, t in cases.texts(rows))
     assert all(0 <= r["copies"] <= 3 for r in got)
-    again = mixing.sampled(df.repartition(7), slices=4).collect()
+    again = mixing.sampled(df.repartition(7), slice_rows=100).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     per: dict[float, list] = {}
     for r in got:
@@ -81,7 +81,7 @@ def test_mixed_emits_the_copies_of_rows_that_share_an_id(spark):
     rows += [(None, cases.prose(999, 12), "en", "hot")] * 60 + [(7, "one two three", "en", "hot")] * 33 + [(8, "x y", "en", None)] * 5
     df = cases.documents(spark, rows).withColumn("m", F.create_map(F.lit("a"), F.length("text")))
     want: dict[tuple, int] = {}
-    for r in mixing._copies(mixing._rows(df, "doc_id", "source", "text")).collect():
+    for r in mixing._copies(mixing._rows(df, "doc_id", "source", "text"), 1).collect():
         key = r["source"], r["doc_id"], r["size"]
         want[key] = want.get(key, 0) + r["copies"]
     have: dict[tuple, int] = {}
@@ -96,3 +96,10 @@ def test_mixed_emits_the_copies_of_rows_that_share_an_id(spark):
         times[s, i, t] = times.get((s, i, t), 0) + 1
     for k, copies in per_row.items():
         assert sorted(copies) == [j // times[k] + 1 for j in range(len(copies))]
+
+
+def test_ids_in_steps_and_shared_ids_do_not_meet_in_one_slice(spark):
+    df = spark.range(4000).selectExpr("id * 64 as doc_id", "id % 9 as size").unionAll(spark.range(2000).selectExpr("cast(null as long)", "id % 40"))
+    n = df.select("doc_id", mixing.slice_of(8).alias("s")).groupBy("s", F.col("doc_id").isNull().alias("none")).count()
+    assert {r["none"]: r["most"] for r in n.groupBy("none").agg(F.max("count").alias("most")).collect()}[False] < 650
+    assert mixing.slices_of(df, 1000) == 6 and mixing.slices_of(df.limit(0)) == 1

@@ -192,3 +192,68 @@ def test_licence_templates_are_whole_notices():
     assert len(labels) >= 30 and sum(len(t.words) >= 12 for t in licences.TEMPLATES) >= 25
     assert [t.label for t in licences.TEMPLATES if t.base] == ["mit", "apache-2", "cc-by-nc"]
     assert all(t.words[t.key_at:t.key_at + len(t.key_words)] == t.key_words for t in licences.TEMPLATES)
+
+
+def plain_train(examples, seed=classifier.SEED):
+    """The classifier's steps, one example and one weight at a time."""
+    import math
+
+    import numpy as np
+
+    rng, d = np.random.default_rng(seed), classifier.DIMENSIONS
+    labels = [y for *_, y in examples]
+    share = (sum(labels) + 1) / (len(labels) + 2)
+    vectors = rng.uniform(-1, 1, (d, classifier.BUCKETS + 1)) / d
+    out, bias = [[0.0, 0.0] for _ in range(d)], [0.0, math.log(share / (1 - share))]
+    epochs, done = max(classifier.EPOCHS, math.ceil(classifier.STEPS / len(examples))), 0
+    for _ in range(epochs):
+        order = rng.permutation(len(examples))
+        for s in range(0, len(order), classifier.BATCH):
+            batch = [examples[i] for i in order[s:s + classifier.BATCH]]
+            rate = classifier.RATE * max(0.02, 1 - done / (epochs * len(examples))) / len(batch)
+            step_out, step_bias, step_rows = [[0.0, 0.0] for _ in range(d)], [0.0, 0.0], {}
+            for rows, counts, y in batch:
+                mean = [sum(c * vectors[k, r] for r, c in zip(rows, counts, strict=True)) / sum(counts) for k in range(d)]
+                logits = [sum(mean[k] * out[k][j] for k in range(d)) + bias[j] for j in (0, 1)]
+                e = [math.exp(x - max(logits)) for x in logits]
+                error = [e[j] / sum(e) - (j == y) for j in (0, 1)]
+                for k in range(d):
+                    back = error[0] * out[k][0] + error[1] * out[k][1]
+                    for j in (0, 1):
+                        step_out[k][j] += mean[k] * error[j]
+                    for r, c in zip(rows, counts, strict=True):
+                        step_rows[k, r] = step_rows.get((k, r), 0.0) + c / sum(counts) * back
+                step_bias = [step_bias[j] + 0.1 * error[j] for j in (0, 1)]
+            for k in range(d):
+                out[k] = [out[k][j] - rate * step_out[k][j] for j in (0, 1)]
+            bias = [bias[j] - rate * step_bias[j] for j in (0, 1)]
+            for (k, r), g in step_rows.items():
+                vectors[k, r] -= rate * g
+            done += len(batch)
+    return (np.array(out)[:, 1] - np.array(out)[:, 0]) @ vectors, bias[1] - bias[0]
+
+
+def test_training_against_a_plain_loop(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(classifier, "STEPS", 200)
+    rng = np.random.default_rng(3)
+    examples = [(rng.choice(500, 6, replace=False).astype("i4"), rng.integers(1, 4, 6).astype(float), i % 2) for i in range(40)]
+    model, (gain, bias) = classifier.train(examples), plain_train(examples)
+    assert np.abs(model.gain - gain).max() < 1e-5 and abs(model.bias - bias) < 1e-9
+
+
+def test_held_out_labels_do_not_matter_and_examples_are_bounded_in_bytes(spark, monkeypatch):
+    import numpy as np
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    flipped = labels.withColumn("quality", F.when(classifier.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = classifier.fit(docs, labels), classifier.fit(docs, flipped)
+    assert np.array_equal(a.gain, b.gain) and a.bias == b.bias
+    seen, train = [], classifier.train
+    monkeypatch.setattr(classifier, "train", lambda examples, *more: seen.append(sum(r.nbytes + 4 * len(c) for r, c, _ in examples)) or train(examples, *more))
+    monkeypatch.setattr(classifier, "TRAIN_BYTES", 50_000)
+    classifier.fit(docs, labels)
+    assert 0 < seen[0] <= 50_000
