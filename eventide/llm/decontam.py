@@ -129,10 +129,12 @@ def windows_of(pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     low = F.greatest(F.lit(0), F.col("first") - n + 1)
     cut = pairs.withColumns({"low": low, "total": F.size("doc_words"), "wide": F.least(length, F.size("doc_words"))})
     cut = cut.withColumns({"cut": F.slice("doc_words", F.col("low") + 1, F.col("last") + n + (size - 1) - F.col("low")), "own": F.col("wide") - (size - 1)})
-    cut = cut.drop("doc_words").withColumn("cut_hashes", shingle_hashes(F.col("cut"), size))
+    # few rows; written at each step, as Catalyst would put the columns into each other over and over
+    cut = checkpointed(cut.drop("doc_words", "item", "first", "last"))
+    cut = checkpointed(cut.withColumn("cut_hashes", shingle_hashes(F.col("cut"), size)))
     places = F.transform("cut_hashes", lambda h, i: F.when(F.array_contains("item_hashes", h), i))
     hit = cut.withColumns({"hits": F.filter(places, lambda i: i.isNotNull()), "m": needed(n, F.col("own"), similarity)})
-    hit = hit.where((F.size("hits") >= F.col("m")) & (F.col("own") > 0))
+    hit = checkpointed(hit.drop("cut_hashes", "item_hashes")).where((F.size("hits") >= F.col("m")) & (F.col("own") > 0))
 
     def range_of(i: Column) -> Column:
         """Starts of the windows that hold the i-th to the (i + m - 1)-th hit."""
@@ -161,11 +163,12 @@ def leaks(df: DataFrame, benchmark: DataFrame, row_id: str = "doc_id", text: str
     items = benchmark.select(ref(item_id).alias("item_id"), words_of(ref(item_text)).alias("words")).where(F.size("words") > 0).distinct()
     items = items.select(F.xxhash64("item_id", "words").alias("item"), "item_id", F.size("words").alias("length"), "words",
                          F.greatest(F.size("words") - (SHINGLE - 1), F.lit(1)).alias("n"), shingles(F.col("words")).alias("item_parts"))
-    items = items.withColumn("k", F.least("length", F.lit(SHINGLE)))
+    items = checkpointed(items.withColumn("k", F.least("length", F.lit(SHINGLE))))
     hashes = F.lit(None).cast("array<bigint>")
     for k in range(1, SHINGLE + 1):
         hashes = F.when(F.col("k") == k, shingle_hashes(F.col("words"), k)).otherwise(hashes)
-    items = checkpointed(with_print(items.withColumn("item_hashes", hashes).drop("words"), "item_parts", "item_print"))
+    items = checkpointed(items.withColumns({"item_hashes": hashes, "hashes": F.transform("item_parts", lambda s: F.xxhash64(s))}).drop("words"))
+    items = checkpointed(items.withColumn("item_print", simhash(F.col("hashes"))).drop("hashes"))
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())
 
     own_hash = F.xxhash64(F.coalesce(ref(text), F.lit("")))
@@ -175,7 +178,8 @@ def leaks(df: DataFrame, benchmark: DataFrame, row_id: str = "doc_id", text: str
         sought = small(rare_shingles(own, similarity), row_bytes(2), broadcast_bytes)
         # the hashes are a column of their own: exploding it is generated code together with the join
         # (outer: else Spark hashes once more to filter empty arrays; the join drops their nulls)
-        docs = df.select(ref(row_id).cast("long").alias("doc_id"), own_hash.alias(TEXT_HASH), shingle_hashes(words_of(ref(text)), k).alias("hashes"))
+        docs = df.select(ref(row_id).cast("long").alias("doc_id"), own_hash.alias(TEXT_HASH), words_of(ref(text)).alias("doc_words"))
+        docs = docs.withColumn("hashes", shingle_hashes(F.col("doc_words"), k))  # of a column: else each hash splits the text anew
         places = docs.select("doc_id", TEXT_HASH, F.posexplode_outer("hashes").alias("at", "hash"))
         met = checkpointed(places.join(sought, "hash").groupBy("doc_id", TEXT_HASH, "item").agg(F.min("at").alias("first"), F.max("at").alias("last")))
         wanted = met.join(small(own.select("item", "length", "n", "item_hashes"), 8 * F.size("item_hashes") + row_bytes(4), broadcast_bytes), "item")
